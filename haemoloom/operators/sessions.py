@@ -11,6 +11,7 @@ per key on the slot side, which adaptive execution can split when a key is hot.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from haemoloom.functions.clock import HOUR_US, as_timestamp, elapsed_hours, elapsed_us, slot_start_us
 from haemoloom.functions.features import session_id
@@ -23,6 +24,8 @@ COPIES_PER_ROW = 100_000
 
 def with_timestamp(readings: DataFrame) -> DataFrame:
     """Readings with ``datatime`` as a timestamp (integers are epoch nanoseconds)."""
+    if isinstance(readings.schema["datatime"].dataType, TimestampType):
+        return readings
     return readings.withColumn("datatime", as_timestamp(readings, "datatime"))
 
 
@@ -44,20 +47,23 @@ def place_sessions(slots: DataFrame, settings: Settings, slot: str = "slot") ->
     session of its own beginning, and comes before all timed readings.
     """
     in_order = Window.partitionBy("pid").orderBy(F.col(slot).asc_nulls_first())
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     pause = elapsed_us(F.lag("last_ts").over(in_order), F.col("first_ts"))
     opens = (
         F.when(F.col(slot).isNull(), F.col("readings"))
         .when(pause.isNull() | (pause > settings.longest_pause_us), F.lit(1).cast("bigint"))
         .otherwise(F.lit(0).cast("bigint"))
     )
+    # Sessions open later and later, so the latest opening so far is the session's
+    # own. Without a subject there is no session id to tell sessions apart.
+    start = F.when(F.col("pid").isNull(), F.min("first_ts").over(whole)).otherwise(
+        F.max(F.when(F.col("opens") > 0, F.col("first_ts"))).over(so_far)
+    )
     return (
         slots.withColumn("opens", opens)
-        .withColumn("session_ordinal", F.sum("opens").over(in_order))
+        .withColumns({"session_ordinal": F.sum("opens").over(so_far), "session_start_ts": start})
         .withColumn("session_id", session_id(F.col("pid"), F.col("session_ordinal")))
-        .withColumn(
-            "session_start_ts",
-            F.min("first_ts").over(Window.partitionBy("pid", "session_id")),
-        )
     )
 
 
@@ -70,8 +76,8 @@ def session_slots(readings: DataFrame, settings: Settings = Settings()) -> DataF
 def attach_sessions(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add session_ordinal, session_id, session_start_ts and the slot's opening to all rows.
 
-    ``opening`` is true on the readings at the very time a session begins:
-    one reading, or several that share that time.
+    ``opening`` is true on the timed readings at the very time a session
+    begins: one reading, or several that share that time.
     """
     width = settings.longest_pause_us + 1
     slots = session_slots(readings.select("pid", "datatime"), settings).select(
@@ -84,10 +90,13 @@ def attach_sessions(readings: DataFrame, settings: Settings = Settings()) -> Dat
         "session_start_ts",
     )
     slot = slot_start_us(F.col("datatime"), width)
+    # A difference, so that it stays a filter on joined rows and no join key:
+    # readings are then shuffled once, whatever is asked about the opening.
+    at_first = F.coalesce(elapsed_us(F.col("first_ts"), F.col("datatime")) == 0, F.lit(False))
     return (
         readings.withColumn("slot", slot)
         .join(slots, F.col("pid").eqNullSafe(F.col("_pid")) & F.col("slot").eqNullSafe(F.col("_slot")))
-        .withColumn("opening", (F.col("opens") > 0) & F.col("datatime").eqNullSafe(F.col("first_ts")))
+        .withColumn("opening", (F.col("opens") > 0) & at_first)
         .drop("_pid", "_slot", "slot", "first_ts", "opens")
     )
 
@@ -120,10 +129,9 @@ def sessionize(readings: DataFrame, settings: Settings = Settings()) -> DataFram
     output = [*columns, "is_new_session", "session_id", "session_start_ts"]
 
     # A reading without a time always begins a session.
-    untimed = F.col("datatime").isNull()
-    body = placed.filter(~F.col("opening") | untimed).withColumn("is_new_session", untimed.cast("int"))
+    body = placed.filter(~F.col("opening")).withColumn("is_new_session", F.col("datatime").isNull().cast("int"))
 
-    heads = placed.filter(F.col("opening") & ~untimed)
+    heads = placed.filter("opening")
     first = Window.partitionBy("pid", "datatime").orderBy(*[F.col(c) for c in columns])
     kept = F.struct(F.lit(1).alias("is_new_session"), F.lit(1).cast("bigint").alias("copies"))
     rest = F.struct(F.lit(0).alias("is_new_session"), (F.col("same") - 1).alias("copies"))

@@ -1,0 +1,203 @@
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from brute import sessions as brute_sessions
+from haemoloom.operators import sessions as op
+from haemoloom.settings import SERVING, Settings
+
+SCHEMA = "pid bigint, datatime timestamp, sbp bigint"
+DAY = datetime(2024, 1, 1)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def ids(df):
+    return sorted((r.pid, r.datatime, r.session_id) for r in df.collect())
+
+
+def test_session_start_is_earliest_reading(spark):
+    df = spark.createDataFrame(
+        [("a", DAY.replace(hour=10)), ("a", DAY.replace(hour=9)), ("b", DAY + timedelta(hours=32))],
+        "session_id string, datatime timestamp",
+    )
+    got = sorted((r.session_id, r.session_start_ts) for r in op.with_group_start(df, "session_id").collect())
+    assert got == [("a", DAY.replace(hour=9))] * 2 + [("b", DAY + timedelta(hours=32))]
+
+
+def test_sessionize_splits_by_gap(spark):
+    rows = [
+        (1, DAY, 100),
+        (1, DAY + timedelta(hours=5), 101),
+        (1, DAY + timedelta(hours=44), 102),
+        (2, DAY, 103),
+    ]
+    got = op.sessionize(frame(spark, rows)).orderBy("sbp").collect()
+    assert [r.session_id for r in got] == ["1_1", "1_1", "1_2", "2_1"]
+    assert [r.is_new_session for r in got] == [1, 0, 1, 1]
+    assert [r.session_start_ts for r in got] == [DAY, DAY, DAY + timedelta(hours=44), DAY]
+
+
+@pytest.mark.parametrize(
+    "gap, batch, serving",
+    [
+        (timedelta(hours=12), 1, 1),
+        (timedelta(hours=12, minutes=30), 1, 2),
+        (timedelta(hours=13), 2, 2),
+        (timedelta(hours=13) - timedelta(microseconds=1), 1, 2),
+        (timedelta(hours=12, microseconds=1), 1, 2),
+    ],
+)
+def test_gap_boundary(spark, gap, batch, serving):
+    df = frame(spark, [(1, DAY, 100), (1, DAY + gap, 101)])
+    for settings, expected in ((Settings(), batch), (Settings(semantics=SERVING), serving)):
+        placed = op.attach_sessions(df, settings)
+        assert placed.agg(F.max("session_ordinal")).first()[0] == expected
+        flagged = op.new_session_flags(df, settings)
+        assert flagged.agg(F.sum("is_new_session")).first()[0] == expected
+
+
+def skewed_rows(seed=7):
+    """One subject holds a third of the rows, copies of one reading another third."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(400):
+        rows.append((1, DAY + timedelta(minutes=rng.choice([0, 5, 13 * 60]) + 60 * rng.randrange(2000)), 90))
+    rows += [(2, DAY + timedelta(days=3), 80)] * 400
+    for _ in range(400):
+        pid = rng.randrange(3, 30)
+        time = None if rng.random() < 0.1 else DAY + timedelta(seconds=rng.randrange(86_400 * 20))
+        rows.append((pid, time, rng.randrange(60, 160)))
+    rows += [(None, DAY + timedelta(hours=30 * i), 70 + i) for i in range(5)]
+    return rows
+
+
+@pytest.mark.parametrize("settings", [Settings(), Settings(semantics=SERVING), Settings(session_window=2)])
+def test_sessionize_against_loops(spark, settings, monkeypatch):
+    monkeypatch.setattr(op, "COPIES_PER_ROW", 64)  # so that copies are written in several pieces
+    rows = skewed_rows()
+    got = op.sessionize(frame(spark, rows), settings).collect()
+    assert Counter((r.pid, r.datatime, r.sbp) for r in got) == Counter(rows)
+
+    expected = brute_sessions([r[:2] for r in rows], settings.session_window, settings.serving)
+    for pid, placed in expected.items():
+        mine = [r for r in got if r.pid == pid]
+        if pid is None:
+            assert {r.session_id for r in mine} == {None}
+            assert {r.session_start_ts for r in mine} == {DAY}
+        else:
+            assert Counter((r.datatime, r.session_id, r.session_start_ts) for r in mine) == Counter(
+                (time, f"{pid}_{ordinal}", start) for time, ordinal, start in placed
+            )
+        # One opening per session, at its start; every untimed reading opens one.
+        assert sum(r.is_new_session for r in mine) == placed[-1][1]
+        opened = [r for r in mine if r.is_new_session and r.datatime is not None]
+        if pid is not None:
+            assert all(r.datatime == r.session_start_ts for r in opened)
+        assert all(r.is_new_session == 1 for r in mine if r.datatime is None)
+
+
+def test_opening_among_ties_is_first_by_value(spark):
+    rows = [(1, DAY, 120), (1, DAY, 95), (1, DAY, 95), (1, DAY, 110)]
+    got = sorted((r.sbp, r.is_new_session) for r in op.sessionize(frame(spark, rows)).collect())
+    assert got == [(95, 0), (95, 1), (110, 0), (120, 0)]
+
+
+def test_sessionize_does_not_depend_on_row_order(spark):
+    rows = skewed_rows()
+    shuffled = rows[:]
+    random.Random(3).shuffle(shuffled)
+    columns = ["pid", "datatime", "sbp", "is_new_session", "session_id", "session_start_ts"]
+    a, b = (op.sessionize(frame(spark, r)).select(*columns).collect() for r in (rows, shuffled))
+    assert Counter(map(tuple, a)) == Counter(map(tuple, b))
+
+
+def test_ordinals_are_contiguous_from_one(spark):
+    placed = op.attach_sessions(frame(spark, skewed_rows())).filter("pid IS NOT NULL")
+    wrong = (
+        placed.filter("datatime IS NOT NULL OR session_ordinal IS NOT NULL")
+        .groupBy("pid")
+        .agg(
+            F.max("session_ordinal").alias("last"),
+            F.countDistinct(F.when(F.col("datatime").isNotNull(), F.col("session_ordinal"))).alias("timed"),
+            F.sum(F.col("datatime").isNull().cast("int")).alias("untimed"),
+        )
+        .filter("last <> timed + untimed")
+    )
+    assert wrong.count() == 0
+
+
+@pytest.mark.parametrize(
+    "settings, gap",
+    [
+        (Settings(semantics=SERVING), "12 hours"),
+        (Settings(), "12 hours 59 minutes 59.999999 seconds"),
+    ],
+)
+def test_agrees_with_session_window(spark, settings, gap):
+    rows = [r for r in skewed_rows(11) if r[0] is not None and r[1] is not None]
+    df = frame(spark, rows)
+    ours = op.sessionize(df, settings).select("pid", "session_start_ts").distinct()
+    theirs = df.groupBy("pid", F.session_window("datatime", gap).alias("w")).count().select("pid", "w.start")
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+
+
+def test_previous_reading_against_loops(spark):
+    rows = skewed_rows(5)
+    got = op.previous_reading(frame(spark, rows)).collect()
+    by_pid = {}
+    for pid, time, _ in rows:
+        by_pid.setdefault(pid, []).append(time)
+    expected = Counter()
+    for pid, times in by_pid.items():
+        timed = sorted(t for t in times if t is not None)
+        expected.update((pid, t, p) for t, p in zip(timed, [None, *timed]))
+        expected.update((pid, None, None) for t in times if t is None)
+    assert Counter((r.pid, r.datatime, r.previous_ts) for r in got) == expected
+
+
+def test_integer_times_are_nanoseconds(spark):
+    ns = 1_704_067_200_000_000_000
+    df = spark.createDataFrame([(1, ns, 100), (1, ns + 1_499, 101), (1, ns + 1_500, 102)], "pid bigint, datatime bigint, sbp bigint")
+    got = [r.datatime for r in op.sessionize(df).orderBy("sbp").collect()]
+    assert got == [DAY, DAY + timedelta(microseconds=1), DAY + timedelta(microseconds=2)]
+
+
+def test_times_before_1970(spark):
+    old = datetime(1969, 12, 31, 20)
+    rows = [(1, old - timedelta(hours=11), 1), (1, old, 2), (1, old + timedelta(hours=12, minutes=59), 3), (1, old + timedelta(hours=26), 4)]
+    got = op.sessionize(frame(spark, rows)).orderBy("sbp").collect()
+    assert [r.session_id for r in got] == ["1_1", "1_1", "1_1", "1_2"]
+
+
+def test_readings_of_one_and_of_many_sessions(spark):
+    table = op.sessionize(frame(spark, skewed_rows()))
+    one = op.session_readings(table, "1_2").collect()
+    times = [r.datatime for r in one]
+    assert times == sorted(times) and {r.session_id for r in one} == {"1_2"}
+    wanted = spark.createDataFrame([("1_2",), ("2_1",), ("2_1",)], "session_id string")
+    many = op.readings_of_sessions(table, wanted)
+    assert many.count() == len(one) + 400
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_readings_are_shuffled_once(spark):
+    """Without broadcasts, both uses of the joined readings share one shuffle of them."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = plan_of(op.sessionize(frame(spark, skewed_rows())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    assert plan.count("ReusedExchange [pid") == 2  # the readings, and their slots
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
