@@ -205,7 +205,8 @@ def _features(select: str, **options) -> str:
     return f"{features(**options)} {select}"
 
 
-_SESSION_CSV = f"""SELECT pid, datatime, session_id, first_dialysis_ts, sbp, dbp, {r9("dia_temp_value")},
+_SESSION_CSV = f"""SELECT pid, datatime, session_id, first_dialysis_ts, CAST(sbp AS DOUBLE) AS sbp,
+  CAST(dbp AS DOUBLE) AS dbp, {r9("dia_temp_value")},
   {r9("conductivity")}, {r9("uf")}, {r9("blood_flow")}, {r9("weightstart")}, {r9("weightend")},
   {r9("dryweight")}, {r9("temperature")}, gender, birthday, DM AS "DM" """
 
@@ -323,7 +324,8 @@ def oracle_sql() -> dict[str, str]:
             """SELECT m.pid, m.datatime, m.session_id, m.sbp, p.gender, p.birthday, p.DM AS "DM", p.first_dialysis_ts
             FROM sessionized m JOIN demographics p ON m.pid = p.pid"""
         ),
-        "join_enrich": f"{combined()} {_SESSION_CSV}, is_new_session, session_start_ts FROM combined",
+        "join_enrich": f"""{combined()} SELECT * REPLACE (CAST(sbp AS BIGINT) AS sbp, CAST(dbp AS BIGINT) AS dbp)
+            FROM ({_SESSION_CSV}, is_new_session, session_start_ts FROM combined)""",
         # Aggregations
         "agg_time_bins": _bins("SELECT pid, session_id, time_bin, readings FROM binned"),
         "agg_avg": _bins(

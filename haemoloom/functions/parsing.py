@@ -24,29 +24,29 @@ def conversion_failed(name: str, target: str, text: Column) -> Column:
     )
 
 
-def strict_cast(name: str, target: str) -> Column:
+def strict_cast(name: str, target: str, integers_required: bool = True) -> Column:
     """Text column ``name`` as ``target``; a bad value raises and names the column.
 
-    A missing value is an error for an integer column and NULL for the others.
-    Truth values are true/false in any case, or numbers (zero is false).
+    A missing value is NULL, but an error in an integer column unless
+    ``integers_required`` is off. Numbers with a fraction lose it in an integer
+    column. Truth values are true/false in any case, or numbers (zero is false).
     """
     text = F.col(name)
     trimmed = F.trim(text)
     if target == "string":
         return text
     if target == "bigint":
-        number = F.coalesce(trimmed.try_cast("bigint"), trimmed.try_cast("double").try_cast("bigint"))
-        bad = number.isNull()
+        value = F.coalesce(trimmed.try_cast("bigint"), trimmed.try_cast("double").try_cast("bigint"))
     elif target == "boolean":
-        number = F.coalesce(trimmed.try_cast("boolean"), trimmed.try_cast("double") != 0)
-        bad = number.isNull() & text.isNotNull()
+        value = F.coalesce(trimmed.try_cast("boolean"), trimmed.try_cast("double") != 0)
     elif target == "timestamp":
-        number = parse_timestamp(trimmed)
-        bad = number.isNull() & text.isNotNull()
+        value = parse_timestamp(trimmed)
     else:
-        number = trimmed.try_cast(target)
-        bad = number.isNull() & text.isNotNull()
-    return F.when(bad, conversion_failed(name, target, text)).otherwise(number)
+        value = trimmed.try_cast(target)
+    bad = value.isNull()
+    if target != "bigint" or not integers_required:
+        bad = bad & text.isNotNull()
+    return F.when(bad, conversion_failed(name, target, text)).otherwise(value)
 
 
 def first_match(text: Column, formats: list[str]) -> Column:

@@ -18,6 +18,9 @@ from haemoloom.functions.features import session_id
 from haemoloom.schemas import SESSION_READING_COLUMNS
 from haemoloom.settings import Settings
 
+# Slot of readings without a time. No timestamp lies in it.
+NO_TIME = -(2**63)
+
 # Copies of one reading that a single row stands for while they are spread out.
 COPIES_PER_ROW = 100_000
 
@@ -29,6 +32,26 @@ def with_timestamp(readings: DataFrame) -> DataFrame:
     return readings.withColumn("datatime", as_timestamp(readings, "datatime"))
 
 
+def slot_of(width_us: int) -> Column:
+    """Slot of a reading; never NULL, so that it can be a join key."""
+    return F.coalesce(slot_start_us(F.col("datatime"), width_us), F.lit(NO_TIME))
+
+
+def join_slots(readings: DataFrame, slots: DataFrame) -> DataFrame:
+    """Readings with the columns of their (pid, slot) row; a NULL pid is a subject too.
+
+    The keys are plain columns on both sides, so that a window over them needs
+    no further shuffle.
+    """
+    keys = ["_subject", "_unknown", "slot"]
+
+    def keyed(df):
+        zero = F.lit(0).cast(df.schema["pid"].dataType)
+        return df.withColumns({"_subject": F.coalesce("pid", zero), "_unknown": F.col("pid").isNull()})
+
+    return keyed(readings).join(keyed(slots).drop("pid"), keys)
+
+
 def reading_slots(readings: DataFrame, slot: Column) -> DataFrame:
     """One row per subject and slot: first and last time, and number of readings."""
     return readings.groupBy("pid", slot.alias("slot")).agg(
@@ -51,7 +74,7 @@ def place_sessions(slots: DataFrame, settings: Settings, slot: str = "slot") ->
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     pause = elapsed_us(F.lag("last_ts").over(in_order), F.col("first_ts"))
     opens = (
-        F.when(F.col(slot).isNull(), F.col("readings"))
+        F.when(F.col("first_ts").isNull(), F.col("readings"))
         .when(pause.isNull() | (pause > settings.longest_pause_us), F.lit(1).cast("bigint"))
         .otherwise(F.lit(0).cast("bigint"))
     )
@@ -69,8 +92,7 @@ def place_sessions(slots: DataFrame, settings: Settings, slot: str = "slot") ->
 
 def session_slots(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The slots of ``readings`` with their sessions; ``datatime`` must be a timestamp."""
-    width = settings.longest_pause_us + 1
-    return place_sessions(reading_slots(readings, slot_start_us(F.col("datatime"), width)), settings)
+    return place_sessions(reading_slots(readings, slot_of(settings.longest_pause_us + 1)), settings)
 
 
 def attach_sessions(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -79,25 +101,19 @@ def attach_sessions(readings: DataFrame, settings: Settings = Settings()) -> Dat
     ``opening`` is true on the timed readings at the very time a session
     begins: one reading, or several that share that time.
     """
-    width = settings.longest_pause_us + 1
     slots = session_slots(readings.select("pid", "datatime"), settings).select(
-        F.col("pid").alias("_pid"),
-        F.col("slot").alias("_slot"),
-        "first_ts",
-        "opens",
-        "session_ordinal",
-        "session_id",
-        "session_start_ts",
+        "pid", "slot", "first_ts", "opens", "session_ordinal", "session_id", "session_start_ts"
     )
-    slot = slot_start_us(F.col("datatime"), width)
+    placed = join_slots(readings.withColumn("slot", slot_of(settings.longest_pause_us + 1)), slots)
     # A difference, so that it stays a filter on joined rows and no join key:
     # readings are then shuffled once, whatever is asked about the opening.
     at_first = F.coalesce(elapsed_us(F.col("first_ts"), F.col("datatime")) == 0, F.lit(False))
-    return (
-        readings.withColumn("slot", slot)
-        .join(slots, F.col("pid").eqNullSafe(F.col("_pid")) & F.col("slot").eqNullSafe(F.col("_slot")))
-        .withColumn("opening", (F.col("opens") > 0) & at_first)
-        .drop("_pid", "_slot", "slot", "first_ts", "opens")
+    return placed.select(
+        *readings.columns,
+        "session_ordinal",
+        "session_id",
+        "session_start_ts",
+        ((F.col("opens") > 0) & at_first).alias("opening"),
     )
 
 
@@ -155,22 +171,15 @@ def previous_reading(readings: DataFrame, settings: Settings = Settings()) -> Da
     takes its previous time from the last hour that has readings.
     """
     readings = with_timestamp(readings)
-    hour = slot_start_us(F.col("datatime"), HOUR_US)
-    timed = readings.filter(F.col("datatime").isNotNull())
+    timed = readings.filter(F.col("datatime").isNotNull()).withColumn("slot", slot_of(HOUR_US))
 
     in_order = Window.partitionBy("pid").orderBy("slot")
-    hours = (
-        reading_slots(timed, hour)
-        .withColumn("before", F.lag("last_ts").over(in_order))
-        .select(F.col("pid").alias("_pid"), F.col("slot").alias("_slot"), "before")
+    hours = reading_slots(timed.select("pid", "datatime"), slot_of(HOUR_US)).select(
+        "pid", "slot", F.lag("last_ts").over(in_order).alias("before")
     )
-    within = Window.partitionBy("pid", "slot").orderBy("datatime")
-    timed = (
-        timed.withColumn("slot", hour)
-        .withColumn("inside", F.lag("datatime").over(within))
-        .join(hours, F.col("pid").eqNullSafe(F.col("_pid")) & (F.col("slot") == F.col("_slot")))
-        .withColumn("previous_ts", F.coalesce("inside", "before"))
-        .drop("_pid", "_slot", "slot", "inside", "before")
+    within = Window.partitionBy("_subject", "_unknown", "slot").orderBy("datatime")
+    timed = join_slots(timed, hours).select(
+        *readings.columns, F.coalesce(F.lag("datatime").over(within), "before").alias("previous_ts")
     )
     untimed = readings.filter(F.col("datatime").isNull()).withColumn(
         "previous_ts", F.lit(None).cast("timestamp")

@@ -5,6 +5,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Settings for large runs. Joins may reuse a partitioning on some of their keys
+# (bins stay partitioned by subject), and plans are built without Python traces.
+SESSION_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Make date, year and text conversions of ``spark`` work in UTC."""

@@ -78,8 +78,8 @@ SESSION_CSV_COLUMNS = [
 SESSION_CSV_TYPES = {
     "pid": "bigint",
     "session_id": "string",
-    "sbp": "bigint",
-    "dbp": "bigint",
+    "sbp": "double",
+    "dbp": "double",
     "dia_temp_value": "double",
     "conductivity": "double",
     "uf": "double",

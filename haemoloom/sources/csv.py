@@ -30,17 +30,21 @@ def read_csv_typed(
     limit: int | None = None,
     order_by: str | None = None,
     files: str | None = None,
+    integers_required: bool = True,
 ) -> DataFrame:
     """Read CSV and cast the columns that ``schema`` names.
 
     Text that does not fit its type raises with the column's name. Columns
-    absent from the file are skipped, and unnamed ones stay text. ``limit``
-    keeps the first rows, by ``order_by`` if given.
+    absent from the file are skipped, and unnamed ones stay text. A missing
+    integer raises too, unless ``integers_required`` is off. ``limit`` keeps the
+    first rows, by ``order_by`` if given.
     """
     if isinstance(schema, T.StructType):
         schema = {f.name: f.dataType.simpleString() for f in schema}
     text = read_csv_text(spark, path, files)
-    typed = text.select(*[strict_cast(c, schema[c]).alias(c) if c in schema else F.col(c) for c in text.columns])
+    typed = text.select(*[
+        strict_cast(c, schema[c], integers_required).alias(c) if c in schema else F.col(c) for c in text.columns
+    ])
     if limit is None:
         return typed
     return (typed.orderBy(order_by) if order_by else typed).limit(limit)

@@ -16,7 +16,7 @@ def read_session_csv(spark: SparkSession, path: str, day_first: bool = True) ->
 
     ``day_first`` says how to read slash-separated dates.
     """
-    typed = read_csv_typed(spark, path, SESSION_CSV_TYPES)
+    typed = read_csv_typed(spark, path, SESSION_CSV_TYPES, integers_required=False)
     return with_group_start(normalize_time_columns(typed, day_first), "session_id")
 
 

@@ -1,0 +1,119 @@
+import math
+import random
+
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from brute import auc
+from haemoloom.operators import metrics
+from haemoloom.operators.risk import class_weights, session_risk
+from haemoloom.plans import classifier, tables, training
+from haemoloom.plans.risk import risk_from_csv
+from haemoloom.operators.enrich import enrich
+from haemoloom.operators.sessions import sessionize
+from haemoloom.sources.session_csv import write_session_csv
+from test_features import random_inputs
+
+
+def scored(n=3000, seed=2, step=None):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        label = int(rng.random() < 0.3)
+        score = min(1.0, max(0.0, rng.gauss(0.4 + 0.2 * label, 0.2)))
+        rows.append((label, round(score, 2) if step else score))
+    return rows
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_metrics_against_loops(spark, ties):
+    rows = scored(step=ties)
+    got = metrics.evaluate(spark.createDataFrame(rows, "label int, score double")).first()
+    labels, scores = zip(*rows)
+    tp = sum(s >= 0.5 for l, s in rows if l)
+    fp = sum(s >= 0.5 for l, s in rows if not l)
+    positives = sum(labels)
+    assert got.roc_auc == pytest.approx(auc(labels, scores))
+    assert got.precision == pytest.approx(tp / (tp + fp))
+    assert got.recall == pytest.approx(tp / positives)
+    assert got.accuracy == pytest.approx(sum((s >= 0.5) == bool(l) for l, s in rows) / len(rows))
+    assert got.f1_score == pytest.approx(2 * tp / (2 * tp + fp + positives - tp))
+    clip = [(l, min(max(s, 1e-15), 1 - 1e-15)) for l, s in rows]
+    loss = -sum(math.log(s) if l else math.log(1 - s) for l, s in clip) / len(rows)
+    assert got.log_loss == pytest.approx(loss)
+
+
+def test_auc_agrees_with_the_library_evaluator(spark):
+    df = spark.createDataFrame(scored(), "label int, score double").withColumn("label", F.col("label").cast("double"))
+    theirs = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
+    assert metrics.evaluate(df).first().roc_auc == pytest.approx(theirs)
+
+
+def test_auc_when_scores_sit_close_together(spark):
+    rows = [(label, 0.5 + score * 1e-9) for label, score in scored(1500)]
+    got = metrics.evaluate(spark.createDataFrame(rows, "label int, score double")).first()
+    assert got.roc_auc == pytest.approx(auc(*zip(*rows)))
+
+
+def test_metrics_without_a_class(spark):
+    got = metrics.evaluate(spark.createDataFrame([(0, 0.1), (0, 0.2)], "label int, score double")).first()
+    assert (got.precision, got.recall, got.roc_auc, got.accuracy) == (None, None, None, 1.0)
+
+
+def test_metrics_file_and_display(spark, tmp_path):
+    shown = tables.write_metrics_csv(
+        spark.createDataFrame([("m", 0.123456)], "name string, roc_auc double"), str(tmp_path / "m")
+    )
+    assert tuple(shown.first()) == ("m", 0.1235)
+    assert spark.read.option("header", True).csv(str(tmp_path / "m")).first().roc_auc == "0.123456"
+
+
+def test_session_risk(spark):
+    df = spark.createDataFrame(
+        [("a", "0"), ("a", "1"), ("b", "0"), ("c", None)], "session_id string, predicted_label string"
+    )
+    assert {r.session_id: r.risk for r in session_risk(df).collect()} == {"a": "High", "b": "Low", "c": "Low"}
+
+
+def test_class_weights_balance(spark):
+    df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "label int")
+    assert {r.label: r.class_weight for r in class_weights(df).collect()} == {0: 8 / 12, 1: 2.0}
+
+
+def test_training_run(spark, tmp_path):
+    """Raw tables to sessions, features, model, quality and the risk of sessions in CSV files."""
+    readings, visits, profiles = random_inputs(spark, 6)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS run_db LOCATION '{tmp_path / 'db'}'")
+    names = training.TableNames(*[f"run_db.{n}" for n in training.TableNames()])
+    readings.write.saveAsTable(names.telemetry)
+    visits.write.saveAsTable(names.registration)
+    profiles.write.saveAsTable(names.demographics)
+    path = str(tmp_path / "model")
+    model, quality = training.train_and_export(spark, path, names, maxIter=3, maxDepth=3)
+    assert 0.0 <= quality.first().accuracy <= 1.0
+
+    features = spark.table(names.features)
+    assert {r.dataset_split for r in features.select("dataset_split").distinct().collect()} == {"TRAIN", "TEST"}
+    pushed = features.filter("dataset_split = 'TRAIN'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset_split" in pushed
+
+    scores = classifier.predict(model, features).select("session_id", "time_bin", "predicted_label", "probability_0", "probability_1")
+    rows = scores.collect()
+    assert {r.predicted_label for r in rows} <= {"0", "1"}
+    assert all(r.probability_0 + r.probability_1 == pytest.approx(1) for r in rows)
+    loaded = classifier.predict(classifier.load_model(path), features).select(scores.columns)
+    assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, rows))
+
+    importance = classifier.feature_importance(model, spark).collect()
+    assert len(importance) == 21 and sum(r.importance for r in importance) == pytest.approx(1)
+
+    table = enrich(sessionize(readings), visits.withColumn("weightend", F.lit(60.0)), profiles)
+    write_session_csv(table, str(tmp_path / "csv"))
+    risk = risk_from_csv(spark, str(tmp_path / "csv"), model).collect()
+    assert {r.session_id for r in risk} == {r.session_id for r in rows}
+    assert {r.risk for r in risk} <= {"High", "Low"}
+
+    again, _ = training.train_and_export(spark, path, names, skip_features=True, maxIter=3, maxDepth=3)
+    assert again.stages[-1].getNumTrees == 3
+    spark.sql("DROP DATABASE run_db CASCADE")
