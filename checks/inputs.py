@@ -71,15 +71,18 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Zone-less timestamps, dates as text and doubles rounded to 9 digits, as in the SQL."""
+def plain(df: DataFrame, exact: tuple[str, ...] = ()) -> DataFrame:
+    """Zone-less timestamps, dates as text and doubles rounded to 9 digits, as in the SQL.
+
+    Columns named in ``exact`` are not rounded.
+    """
 
     def column(name, kind):
         if isinstance(kind, T.TimestampType):
             return F.col(name).cast("timestamp_ntz").alias(name)
         if isinstance(kind, T.DateType):
             return F.col(name).cast("string").alias(name)
-        if isinstance(kind, T.DoubleType):
+        if isinstance(kind, T.DoubleType) and name not in exact:
             return F.round(name, 9).alias(name)
         return F.col(name)
 

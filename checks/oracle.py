@@ -387,7 +387,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "fn_hour_gap": _sessions(
             """SELECT pid, datatime, date_sub('hour', previous_ts, datatime) AS hours,
-            round((epoch_us(datatime) - epoch_us(previous_ts)) / 3600000000.0, 9) AS hours_serving FROM flagged"""
+            (epoch_us(datatime) - epoch_us(previous_ts)) / 3600000000.0 AS hours_serving FROM flagged"""
         ),
         "fn_session_id": _sessions("SELECT pid, session_ordinal, session_id FROM sessionized"),
         "fn_split": _sessions(

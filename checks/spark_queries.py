@@ -523,7 +523,8 @@ def fn_hour_gap(spark, sf_dir):
             "datatime",
             clock.elapsed_hours(*ends).alias("hours"),
             clock.elapsed_hours(*ends, fractional=True).alias("hours_serving"),
-        )
+        ),
+        exact=("hours_serving",),
     )
 
 
