@@ -21,6 +21,12 @@ from haemoloom.settings import Settings
 # Slot of readings without a time. No timestamp lies in it.
 NO_TIME = -(2**63)
 
+SLOT_KEYS = ["_subject", "_unknown", "slot"]
+
+# A subject's hour with more readings than this is reduced to distinct readings
+# before it is put in order.
+CROWDED_HOUR = 5_000_000
+
 # Copies of one reading that a single row stands for while they are spread out.
 COPIES_PER_ROW = 100_000
 
@@ -37,19 +43,18 @@ def slot_of(width_us: int) -> Column:
     return F.coalesce(slot_start_us(F.col("datatime"), width_us), F.lit(NO_TIME))
 
 
-def join_slots(readings: DataFrame, slots: DataFrame) -> DataFrame:
-    """Readings with the columns of their (pid, slot) row; a NULL pid is a subject too.
+def with_slot_keys(df: DataFrame) -> DataFrame:
+    """Add non-NULL key columns for the subject; a NULL pid is a subject too.
 
-    The keys are plain columns on both sides, so that a window over them needs
-    no further shuffle.
+    Joins and windows over ``SLOT_KEYS`` share one partitioning.
     """
-    keys = ["_subject", "_unknown", "slot"]
+    zero = F.lit(0).cast(df.schema["pid"].dataType)
+    return df.withColumns({"_subject": F.coalesce("pid", zero), "_unknown": F.col("pid").isNull()})
 
-    def keyed(df):
-        zero = F.lit(0).cast(df.schema["pid"].dataType)
-        return df.withColumns({"_subject": F.coalesce("pid", zero), "_unknown": F.col("pid").isNull()})
 
-    return keyed(readings).join(keyed(slots).drop("pid"), keys)
+def join_slots(readings: DataFrame, slots: DataFrame) -> DataFrame:
+    """Readings with the columns of their (pid, slot) row."""
+    return with_slot_keys(readings).join(with_slot_keys(slots).drop("pid"), SLOT_KEYS)
 
 
 def reading_slots(readings: DataFrame, slot: Column) -> DataFrame:
@@ -168,24 +173,50 @@ def previous_reading(readings: DataFrame, settings: Settings = Settings()) -> Da
     """Add the subject's previous reading time and the hours since then.
 
     The lag runs inside (subject, hour) groups. The first reading of an hour
-    takes its previous time from the last hour that has readings.
+    takes its previous time from the last hour that has readings. Crowded hours
+    hold copies, which are counted before the shuffle and written out after it.
     """
     readings = with_timestamp(readings)
-    timed = readings.filter(F.col("datatime").isNotNull()).withColumn("slot", slot_of(HOUR_US))
+    columns = readings.columns
+    timed = with_slot_keys(readings.filter(F.col("datatime").isNotNull()).withColumn("slot", slot_of(HOUR_US)))
 
     in_order = Window.partitionBy("pid").orderBy("slot")
-    hours = reading_slots(timed.select("pid", "datatime"), slot_of(HOUR_US)).select(
-        "pid", "slot", F.lag("last_ts").over(in_order).alias("before")
+    hours = with_slot_keys(
+        reading_slots(timed.select("pid", "datatime"), slot_of(HOUR_US)).select(
+            "pid", "slot", "readings", F.lag("last_ts").over(in_order).alias("before")
+        )
     )
-    within = Window.partitionBy("_subject", "_unknown", "slot").orderBy("datatime")
-    timed = join_slots(timed, hours).select(
-        *readings.columns, F.coalesce(F.lag("datatime").over(within), "before").alias("previous_ts")
+    # One row per CROWDED_HOUR readings at most: a small list for any table.
+    crowded = F.broadcast(hours.filter(F.col("readings") > CROWDED_HOUR).select(SLOT_KEYS))
+    before = hours.select(*SLOT_KEYS, "before")
+
+    within = Window.partitionBy(SLOT_KEYS).orderBy("datatime")
+    ordinary = (
+        timed.join(crowded, SLOT_KEYS, "left_anti")
+        .join(before, SLOT_KEYS)
+        .select(*columns, F.coalesce(F.lag("datatime").over(within), "before").alias("previous_ts"))
     )
+
+    among_distinct = Window.partitionBy(SLOT_KEYS).orderBy("datatime", *columns)
+    first = F.struct(F.coalesce(F.lag("datatime").over(among_distinct), "before").alias("previous_ts"), F.lit(1).cast("bigint").alias("copies"))
+    rest = F.struct(F.col("datatime").alias("previous_ts"), (F.col("same") - 1).alias("copies"))
+    counted = (
+        timed.join(crowded, SLOT_KEYS, "left_semi")
+        .groupBy(*SLOT_KEYS, *columns)
+        .agg(F.count(F.lit(1)).alias("same"))
+        .join(before, SLOT_KEYS)
+        .withColumn("part", F.array(first, rest))
+        .select(*columns, F.explode("part").alias("part"))
+        .select(*columns, "part.*")
+        .filter(F.col("copies") > 0)
+    )
+    copied = repeat_rows(counted, "copies", ["pid", "datatime"])
+
     untimed = readings.filter(F.col("datatime").isNull()).withColumn(
         "previous_ts", F.lit(None).cast("timestamp")
     )
     gap = elapsed_hours(F.col("previous_ts"), F.col("datatime"), settings.serving)
-    return timed.unionByName(untimed).withColumn("gap_hours", gap)
+    return ordinary.unionByName(copied).unionByName(untimed).withColumn("gap_hours", gap)
 
 
 def new_session_flags(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -147,7 +147,11 @@ def test_agrees_with_session_window(spark, settings, gap):
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
 
 
-def test_previous_reading_against_loops(spark):
+@pytest.mark.parametrize("crowded", [op.CROWDED_HOUR, 30, 0])
+def test_previous_reading_against_loops(spark, monkeypatch, crowded):
+    """With a low limit, hours (in the end all of them) take the way of crowded hours."""
+    monkeypatch.setattr(op, "CROWDED_HOUR", crowded)
+    monkeypatch.setattr(op, "COPIES_PER_ROW", 64)
     rows = skewed_rows(5)
     got = op.previous_reading(frame(spark, rows)).collect()
     by_pid = {}
