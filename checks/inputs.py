@@ -79,11 +79,11 @@ def plain(df: DataFrame, exact: tuple[str, ...] = ()) -> DataFrame:
 
     def column(name, kind):
         if isinstance(kind, T.TimestampType):
-            return F.col(name).cast("timestamp_ntz").alias(name)
+            return f"CAST(`{name}` AS TIMESTAMP_NTZ) AS `{name}`"
         if isinstance(kind, T.DateType):
-            return F.col(name).cast("string").alias(name)
+            return f"CAST(`{name}` AS STRING) AS `{name}`"
         if isinstance(kind, T.DoubleType) and name not in exact:
-            return F.round(name, 9).alias(name)
-        return F.col(name)
+            return f"round(`{name}`, 9) AS `{name}`"
+        return f"`{name}`"
 
-    return df.select(*[column(f.name, f.dataType) for f in df.schema])
+    return df.selectExpr(*[column(f.name, f.dataType) for f in df.schema])

@@ -203,18 +203,15 @@ def _payload_features(spark, sf_dir):
 
 
 def sink_payload_json(spark, sf_dir):
+    """Documents with their number of instances and the ends of their time order."""
     documents = payload.payload_documents(_payload_features(spark, sf_dir))
-    size = F.json_array_length(F.get_json_object("payload", "$.instances"))
-    first = F.get_json_object("payload", "$.instances[0].avg_sbp")
-    last = F.element_at(F.from_json(F.get_json_object("payload", "$.instances[*].avg_sbp"), "array<double>"), -1)
-    # One-element lists come back as a bare number.
-    last = F.coalesce(last, first.cast("double"))
+    instances = F.from_json("payload", payload.DOCUMENT)["instances"]
     return plain(
-        documents.select(
+        documents.select("session_id", instances.alias("list")).select(
             "session_id",
-            size.cast("bigint").alias("instances"),
-            first.cast("double").alias("first_avg_sbp"),
-            last.alias("last_avg_sbp"),
+            F.size("list").cast("bigint").alias("instances"),
+            F.element_at("list", 1)["avg_sbp"].alias("first_avg_sbp"),
+            F.element_at("list", -1)["avg_sbp"].alias("last_avg_sbp"),
         )
     )
 
@@ -405,26 +402,23 @@ def win_session_start(spark, sf_dir):
     return plain(_placed(spark, sf_dir).select("pid", "datatime", "session_id", "session_start_ts"))
 
 
-def _windowed(**columns) -> Query:
-    """A query that adds window columns to the bins."""
+def _windowed(name, expression, *keep) -> Query:
+    """A query that adds one window column to the bins; ``expression`` builds it."""
 
     def query(spark, sf_dir):
-        added = [expression.alias(name) for name, expression in columns["build"]().items()]
-        return plain(_bins(spark, sf_dir).select(*_BIN_KEY, *columns.get("keep", []), *added))
+        return plain(_bins(spark, sf_dir).select(*_BIN_KEY, *keep, expression().alias(name)))
 
     return query
 
 
-win_lag_sbp = _windowed(build=lambda: {"lag_1_avg_sbp": temporal.previous_bin("avg_sbp")})
-win_lag_uf = _windowed(build=lambda: {"lag_1_avg_uf_rate": temporal.previous_bin("avg_uf_rate")})
-win_trend_sbp = _windowed(build=lambda: {"trend_1_sbp": temporal.trend("avg_sbp")})
-win_trend_conductivity = _windowed(build=lambda: {"trend_1_conductivity": temporal.trend("avg_conductivity")})
-win_rolling_avg = _windowed(build=lambda: {"rolling_avg_sbp": temporal.rolling(F.avg, "avg_sbp", _DEFAULT)})
-win_rolling_max = _windowed(build=lambda: {"rolling_max_sbp": temporal.rolling(F.max, "avg_sbp", _DEFAULT)})
-win_rolling_stddev = _windowed(
-    build=lambda: {"rolling_stddev_sbp": temporal.rolling(F.stddev_samp, "avg_sbp", _DEFAULT)}
-)
-win_label_lookahead = _windowed(build=lambda: {"label": temporal.upcoming_hypotension(_DEFAULT)})
+win_lag_sbp = _windowed("lag_1_avg_sbp", lambda: temporal.previous_bin("avg_sbp"))
+win_lag_uf = _windowed("lag_1_avg_uf_rate", lambda: temporal.previous_bin("avg_uf_rate"))
+win_trend_sbp = _windowed("trend_1_sbp", lambda: temporal.trend("avg_sbp"))
+win_trend_conductivity = _windowed("trend_1_conductivity", lambda: temporal.trend("avg_conductivity"))
+win_rolling_avg = _windowed("rolling_avg_sbp", lambda: temporal.rolling(F.avg, "avg_sbp", _DEFAULT))
+win_rolling_max = _windowed("rolling_max_sbp", lambda: temporal.rolling(F.max, "avg_sbp", _DEFAULT))
+win_rolling_stddev = _windowed("rolling_stddev_sbp", lambda: temporal.rolling(F.stddev_samp, "avg_sbp", _DEFAULT))
+win_label_lookahead = _windowed("label", lambda: temporal.upcoming_hypotension(_DEFAULT))
 
 
 # --- sorts and limits -------------------------------------------------------
@@ -435,9 +429,7 @@ def sort_session_time(spark, sf_dir):
 
 
 # The windows order their own rows; no sort of the whole table comes before them.
-sort_for_windows = _windowed(
-    keep=["avg_sbp"], build=lambda: {"lag_1_avg_sbp": temporal.previous_bin("avg_sbp")}
-)
+sort_for_windows = _windowed("lag_1_avg_sbp", lambda: temporal.previous_bin("avg_sbp"), "avg_sbp")
 
 
 def limit_head(spark, sf_dir):
@@ -542,7 +534,7 @@ def fn_split(spark, sf_dir):
 
 
 fn_coalesce = _windowed(
-    build=lambda: {"sbp_before": F.coalesce(temporal.previous_bin("avg_sbp"), F.col("avg_sbp"))}
+    "sbp_before", lambda: F.coalesce(temporal.previous_bin("avg_sbp"), F.col("avg_sbp"))
 )
 
 

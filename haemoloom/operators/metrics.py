@@ -30,9 +30,11 @@ def negatives_below(counts: DataFrame) -> DataFrame:
     """Add the number of negatives with a lower score."""
     cuts = [i / _BANDS for i in range(1, _BANDS)]
     edges = counts.agg(F.percentile_approx("score", cuts, 10 * _BANDS).alias("edges"))
-    banded = counts.withColumn("edges", edges.scalar()).withColumn(
-        "band", F.size(F.filter("edges", lambda edge: edge < F.col("score")))
-    ).drop("edges")
+    band = F.size(F.filter("edges", lambda edge: edge < F.col("score")))
+    # Never NULL, so that no null check on it is pushed below the counting.
+    banded = counts.withColumn("edges", edges.scalar()).select(
+        "score", "positives", "negatives", F.coalesce(band, F.lit(0)).alias("band")
+    )
     # At most _BANDS rows, so this window is small by construction.
     in_order = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     bands = (

@@ -6,13 +6,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings for large runs. Joins may reuse a partitioning on some of their keys
-# (bins stay partitioned by subject), and plans are built without Python traces.
+# (bins stay partitioned by subject), plans are built without Python traces, and
+# nanosecond times in Parquet files are read as integers.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 

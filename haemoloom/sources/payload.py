@@ -9,6 +9,11 @@ from haemoloom.schemas import INSTANCE, MODEL_FEATURES
 # A session with more instances is written as several documents.
 INSTANCES_PER_DOCUMENT = 5_000
 
+DOCUMENT = T.StructType([
+    T.StructField("instances", T.ArrayType(INSTANCE)),
+    T.StructField("parameters", T.MapType(T.StringType(), T.StringType())),
+])
+
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -29,11 +34,13 @@ def payload_documents(features: DataFrame, per_document: int = INSTANCES_PER_DOC
     only past ``per_document`` instances, so no row grows without bound.
     """
     order = "time_bin" if "time_bin" in features.columns else "minutes_into_session"
-    place = F.row_number().over(Window.partitionBy("session_id").orderBy(order))
+    # With the subject, the features' own partitioning serves again.
+    keys = [c for c in features.columns if c.lower() in ("pid", "session_id")]
+    place = F.row_number().over(Window.partitionBy(keys).orderBy(order))
     return (
-        features.select("session_id", place.alias("place"), instance().alias("instance"))
+        features.select(*keys, place.alias("place"), instance().alias("instance"))
         .withColumn("part", F.call_function("div", F.col("place") - 1, F.lit(per_document)))
-        .groupBy("session_id", "part")
+        .groupBy(*keys, "part")
         .agg(F.sort_array(F.collect_list(F.struct("place", "instance"))).alias("placed"))
         .select(
             "session_id",
@@ -56,11 +63,7 @@ def read_payload(spark: SparkSession, path: str, one_per_file: bool = False) ->
     Either may be absent from a document and is then empty. Documents are one
     per line, or ``one_per_file`` over any number of lines.
     """
-    schema = T.StructType([
-        T.StructField("instances", T.ArrayType(INSTANCE)),
-        T.StructField("parameters", T.MapType(T.StringType(), T.StringType())),
-    ])
-    read = spark.read.schema(schema).option("multiLine", one_per_file).json(path)
+    read = spark.read.schema(DOCUMENT).option("multiLine", one_per_file).json(path)
     return read.select(
         F.coalesce("instances", F.array().cast(T.ArrayType(INSTANCE))).alias("instances"),
         F.coalesce("parameters", F.create_map().cast("map<string,string>")).alias("parameters"),

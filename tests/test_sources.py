@@ -1,18 +1,21 @@
 import json
 from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haemoloom.operators.enrich import enrich
+from haemoloom.operators.sessions import sessionize
 from haemoloom.plans import chosen, setup
 from haemoloom.plans.features import serving_features
+from haemoloom.runtime import SESSION_CONF, scratch_path, shared_folder
 from haemoloom.schemas import MODEL_FEATURES, SESSION_CSV_COLUMNS, TELEMETRY
 from haemoloom.sources import csv, jsonl, payload, session_csv, tables
 from test_features import golden_inputs
-from haemoloom.operators.enrich import enrich
-from haemoloom.operators.sessions import sessionize
 
 TYPES = {"pid": "bigint", "weight": "double", "absent": "double"}
 
@@ -153,6 +156,24 @@ def test_tables_are_replaced(spark, tmp_path):
     spark.sql("DROP TABLE replaced")
 
 
+def test_nanosecond_parquet_is_read_as_integers(spark, tmp_path):
+    moments = pa.array([1_704_067_200_000_000_000], pa.timestamp("ns"))
+    table = pa.table({"pid": [1], "datatime": moments, "sbp": [100]})
+    pq.write_table(table, tmp_path / "t.parquet", version="2.6")
+    name = "spark.sql.legacy.parquet.nanosAsLong"
+    spark.conf.set(name, SESSION_CONF[name])
+    try:
+        row = sessionize(spark.read.parquet(str(tmp_path / "t.parquet"))).first()
+    finally:
+        spark.conf.unset(name)
+    assert row.datatime == datetime(2024, 1, 1)
+
+
+def test_scratch_paths_lie_in_the_shared_folder(spark):
+    assert scratch_path(spark, "x").startswith(shared_folder(spark))
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
 def test_setup_from_csv(spark, tmp_path):
     raw = tmp_path / "csv"
     raw.mkdir()
