@@ -40,8 +40,9 @@ def _sessionized(spark, sf_dir, settings=_DEFAULT):
     return sessions.sessionize(telemetry(spark, sf_dir), settings)
 
 
-def _placed(spark, sf_dir):
-    return sessions.attach_sessions(telemetry(spark, sf_dir))
+def _placed(spark, sf_dir, settings=_DEFAULT):
+    """Readings with their sessions, for steps that need no opening flag."""
+    return sessions.attach_sessions(telemetry(spark, sf_dir), settings)
 
 
 def _features(spark, sf_dir, settings=_DEFAULT):
@@ -56,7 +57,7 @@ def _bins(spark, sf_dir, settings=_DEFAULT):
 
 def _enriched(spark, sf_dir, settings=_DEFAULT):
     return enrich.enrich(
-        _sessionized(spark, sf_dir, settings), registration(spark, sf_dir), demographics(spark, sf_dir)
+        _placed(spark, sf_dir, settings), registration(spark, sf_dir), demographics(spark, sf_dir)
     )
 
 
@@ -339,7 +340,8 @@ def join_demographics(spark, sf_dir):
 
 
 def join_enrich(spark, sf_dir):
-    return plain(_enriched(spark, sf_dir).select(*SESSION_CSV_COLUMNS, "is_new_session", "session_start_ts"))
+    rows = enrich.enrich(_sessionized(spark, sf_dir), registration(spark, sf_dir), demographics(spark, sf_dir))
+    return plain(rows.select(*SESSION_CSV_COLUMNS, "is_new_session", "session_start_ts"))
 
 
 # --- aggregations -----------------------------------------------------------
@@ -615,7 +617,8 @@ def ml_train(spark, sf_dir):
     """The fitted trees and their weights."""
     _, model = _model(spark, sf_dir)
     trees = model.stages[-1]
-    shape = [(i, tree.depth, tree.numNodes, float(w)) for i, (tree, w) in enumerate(zip(trees.trees, trees.treeWeights))]
+    pairs = enumerate(zip(trees.trees, trees.treeWeights))
+    shape = [(i, tree.depth, tree.numNodes, float(weight)) for i, (tree, weight) in pairs]
     return spark.createDataFrame(shape, "tree int, depth int, nodes int, weight double")
 
 

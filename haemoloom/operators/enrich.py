@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haemoloom.functions.clock import as_timestamp
-from haemoloom.settings import Settings
 
 _DAY = "session_date"
 
@@ -87,7 +86,9 @@ def enrich(
     return join_demographics(join_registration(readings, registration, one_per_day), demographics)
 
 
-def join_visits(bins: DataFrame, registration: DataFrame, demographics: DataFrame, one_per_day: bool = False) -> DataFrame:
+def join_visits(
+    bins: DataFrame, registration: DataFrame, demographics: DataFrame, one_per_day: bool = False
+) -> DataFrame:
     """Inner joins of session bins with one row per day and per subject.
 
     The repetition that several matches would cause is kept as the number

@@ -198,7 +198,8 @@ def previous_reading(readings: DataFrame, settings: Settings = Settings()) -> Da
     )
 
     among_distinct = Window.partitionBy(SLOT_KEYS).orderBy("datatime", *columns)
-    first = F.struct(F.coalesce(F.lag("datatime").over(among_distinct), "before").alias("previous_ts"), F.lit(1).cast("bigint").alias("copies"))
+    earlier = F.coalesce(F.lag("datatime").over(among_distinct), "before")
+    first = F.struct(earlier.alias("previous_ts"), F.lit(1).cast("bigint").alias("copies"))
     rest = F.struct(F.col("datatime").alias("previous_ts"), (F.col("same") - 1).alias("copies"))
     counted = (
         timed.join(crowded, SLOT_KEYS, "left_semi")

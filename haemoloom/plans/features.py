@@ -13,7 +13,7 @@ from haemoloom.functions import features as fn
 from haemoloom.functions.clock import elapsed_minutes
 from haemoloom.operators.bins import enriched_bins, repeated_stddev, session_bins, slot_bins
 from haemoloom.operators.enrich import join_visits
-from haemoloom.operators.sessions import place_sessions, sessionize, with_timestamp
+from haemoloom.operators.sessions import attach_sessions, place_sessions, with_timestamp
 from haemoloom.operators.temporal import add_temporal_features
 from haemoloom.schemas import FEATURE_COLUMNS, SERVING_COLUMNS
 from haemoloom.settings import SERVING, Settings
@@ -57,7 +57,7 @@ def features_from_telemetry(
     # gap cannot stand for their readings when sessions are told apart.
     if 2 * settings.interval_us > settings.longest_pause_us + 1:
         return features_from_sessions(
-            sessionize(readings, settings), registration, demographics, settings, one_per_day
+            attach_sessions(readings, settings), registration, demographics, settings, one_per_day
         )
     bins = place_sessions(slot_bins(readings, settings), settings, slot="time_bin")
     return _finished(

@@ -27,14 +27,12 @@ def write_session_csv(sessions: DataFrame, path: str, file_per_session: bool = F
     chosen set of sessions, not a whole history.
     """
     rows = sessions.select(*SESSION_CSV_COLUMNS)
-    writer = rows.write.mode("overwrite").option("header", True).option("timestampFormat", _TIME_LAYOUT)
+    folders = []
     if file_per_session:
         # The partition column leaves the file, so a copy of the id goes there.
-        rows = rows.withColumn("session", F.col("session_id")).repartition("session")
-        writer = (
-            rows.write.mode("overwrite")
-            .option("header", True)
-            .option("timestampFormat", _TIME_LAYOUT)
-            .partitionBy("session")
-        )
-    writer.csv(path)
+        # Rebalancing gathers small sessions and splits large ones.
+        rows = rows.withColumn("session", F.col("session_id")).hint("rebalance", "session")
+        folders = ["session"]
+    rows.write.mode("overwrite").option("header", True).option("timestampFormat", _TIME_LAYOUT).partitionBy(
+        *folders
+    ).csv(path)

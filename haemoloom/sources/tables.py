@@ -8,7 +8,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
+def replace_table(
+    df: DataFrame, table: str, path: str | None = None, partition_by: list[str] | None = None
+) -> DataFrame:
     """Create or replace ``table`` with the rows of ``df`` and return it.
 
     With ``path`` the files lie there, else in the catalog's warehouse.

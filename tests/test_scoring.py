@@ -98,7 +98,8 @@ def test_training_run(spark, tmp_path):
     pushed = features.filter("dataset_split = 'TRAIN'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dataset_split" in pushed
 
-    scores = classifier.predict(model, features).select("session_id", "time_bin", "predicted_label", "probability_0", "probability_1")
+    outputs = ["session_id", "time_bin", "predicted_label", "probability_0", "probability_1"]
+    scores = classifier.predict(model, features).select(outputs)
     rows = scores.collect()
     assert {r.predicted_label for r in rows} <= {"0", "1"}
     assert all(r.probability_0 + r.probability_1 == pytest.approx(1) for r in rows)

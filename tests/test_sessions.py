@@ -167,14 +167,16 @@ def test_previous_reading_against_loops(spark, monkeypatch, crowded):
 
 def test_integer_times_are_nanoseconds(spark):
     ns = 1_704_067_200_000_000_000
-    df = spark.createDataFrame([(1, ns, 100), (1, ns + 1_499, 101), (1, ns + 1_500, 102)], "pid bigint, datatime bigint, sbp bigint")
+    rows = [(1, ns, 100), (1, ns + 1_499, 101), (1, ns + 1_500, 102)]
+    df = spark.createDataFrame(rows, "pid bigint, datatime bigint, sbp bigint")
     got = [r.datatime for r in op.sessionize(df).orderBy("sbp").collect()]
     assert got == [DAY, DAY + timedelta(microseconds=1), DAY + timedelta(microseconds=2)]
 
 
 def test_times_before_1970(spark):
     old = datetime(1969, 12, 31, 20)
-    rows = [(1, old - timedelta(hours=11), 1), (1, old, 2), (1, old + timedelta(hours=12, minutes=59), 3), (1, old + timedelta(hours=26), 4)]
+    times = [-11, 0, 12.99, 26]
+    rows = [(1, old + timedelta(hours=h), i) for i, h in enumerate(times)]
     got = op.sessionize(frame(spark, rows)).orderBy("sbp").collect()
     assert [r.session_id for r in got] == ["1_1", "1_1", "1_1", "1_2"]
 
