@@ -150,8 +150,11 @@ FEATURES_SELECT = f"""dataset_split, pid AS "Pid", session_id, time_bin,
   age_at_session, dialysis_vintage_years, {r9("fluid_to_remove")}, minutes_into_session, gender, DM AS "DM",
   {_STATISTIC_COLUMNS}, label"""
 
+# Model inputs: with fractional years and minutes, and with whole ones.
 INPUTS_SELECT = f"""age_at_session, {r9("dialysis_vintage_years")}, {r9("fluid_to_remove")},
   {r9("minutes_into_session")}, gender, DM AS "DM", {_STATISTIC_COLUMNS}"""
+WHOLE_INPUTS_SELECT = f"""age_at_session, dialysis_vintage_years, {r9("fluid_to_remove")},
+  minutes_into_session, gender, DM AS "DM", {_STATISTIC_COLUMNS}"""
 
 READING_R9 = ", ".join(
     ["pid", "datatime", "sbp", "dbp", r9("dia_temp_value"), r9("conductivity"), r9("uf"), r9("blood_flow")]
@@ -278,7 +281,9 @@ def oracle_sql() -> dict[str, str]:
         # Projections, filters, predicates
         "prj_normalize_telemetry": _sessions(
             f"""SELECT pid AS "Pid", datatime AS measurement_timestamp, sbp, dbp, {r9("dia_temp_value")},
-            {r9("conductivity")}, {r9("uf")}, {r9("blood_flow")}, is_new_session, session_id, session_start_ts
+            {r9("conductivity")}, {r9("uf")}, {r9("blood_flow")}, is_new_session, session_id,
+            coalesce(CASE WHEN sbp % 2 = 1 THEN session_start_ts END, min(datatime) OVER (PARTITION BY session_id))
+              AS session_start_ts
             FROM sessionized"""
         ),
         "prj_passthrough": _inputs(
@@ -290,9 +295,7 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT pid, session_id, time_bin, {r9("avg_sbp")}, min_sbp, {r9("stddev_sbp")}, {r9("avg_dbp")},
             {r9("avg_dia_temp")}, {r9("avg_conductivity")}, {r9("avg_uf_rate")}, {r9("avg_blood_flow")} FROM binned"""
         ),
-        "prj_model_inputs": _features(
-            f"SELECT {INPUTS_SELECT.replace(r9('dialysis_vintage_years'), 'dialysis_vintage_years').replace(r9('minutes_into_session'), 'minutes_into_session')}, label FROM features"
-        ),
+        "prj_model_inputs": _features(f"SELECT {WHOLE_INPUTS_SELECT}, label FROM features"),
         "flt_session": _sessions(f"{_SESSIONIZED} WHERE session_id = '8_1'"),
         "flt_session_bulk": _sessions(
             f"""{_SESSIONIZED} WHERE session_id IN (
@@ -317,7 +320,8 @@ def oracle_sql() -> dict[str, str]:
             """, per_day AS (
               SELECT pid, CAST(keyindate AS DATE) AS day, min({'s': weightstart, 'd': dryweight}) AS w
               FROM registration GROUP BY 1, 2)
-            SELECT m.pid, m.datatime, m.session_id, m.sbp, r.w.s AS weightstart, r.w.d AS dryweight, CAST(r.day AS VARCHAR) AS session_date
+            SELECT m.pid, m.datatime, m.session_id, m.sbp, r.w.s AS weightstart, r.w.d AS dryweight,
+            CAST(r.day AS VARCHAR) AS session_date
             FROM sessionized m JOIN per_day r ON m.pid = r.pid AND CAST(m.session_start_ts AS DATE) = r.day"""
         ),
         "join_demographics": _sessions(
@@ -367,7 +371,8 @@ def oracle_sql() -> dict[str, str]:
         "limit_head": _inputs(f"SELECT {READING_R9} FROM telemetry ORDER BY pid, datatime LIMIT 5"),
         # Scalar functions
         "fn_epoch_to_ts": """SELECT event_id,
-            make_timestamp(CAST((epoch_us(ts) * 1000 + event_id % 1000 + 500) // 1000 AS BIGINT)) AS datatime FROM events""",
+            make_timestamp(CAST((epoch_us(ts) * 1000 + event_id % 1000 + 500) // 1000 AS BIGINT)) AS datatime
+            FROM events""",
         "fn_cast": """SELECT event_id, CAST(user_id AS VARCHAR) AS pid_text, CAST(round(value) AS BIGINT) AS whole,
             TRY_CAST(event_type AS BIGINT) AS not_a_number, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events""",
         "fn_date": "SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events",
@@ -413,7 +418,8 @@ def oracle_sql() -> dict[str, str]:
         "fn_add_day": _inputs("SELECT pid, CAST(CAST(keyindate AS DATE) + 1 AS VARCHAR) AS next_day FROM registration"),
         "fn_tz_align": _sessions(
             """SELECT m.pid, m.datatime,
-            CAST(floor((epoch_us(m.session_start_ts) - epoch_us(p.first_dialysis_ts)) / 86400000000.0) AS BIGINT) AS days
+            CAST(floor((epoch_us(m.session_start_ts) - epoch_us(p.first_dialysis_ts)) / 86400000000.0) AS BIGINT)
+              AS days
             FROM sessionized m JOIN demographics p ON m.pid = p.pid"""
         ),
         "fn_round": "SELECT event_id, round(value / 3, 4) AS value_4 FROM events",

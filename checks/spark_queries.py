@@ -256,13 +256,13 @@ def sink_eval_csv(spark, sf_dir):
 
 
 def prj_normalize_telemetry(spark, sf_dir):
-    rows = _sessionized(spark, sf_dir)
+    """Sessionized readings with text subjects, and without a start where the pressure is even."""
+    start = F.when(F.col("sbp") % 2 == 1, F.col("session_start_ts"))
+    rows = _sessionized(spark, sf_dir).withColumns({"pid": F.col("pid").cast("string"), "session_start_ts": start})
     return plain(
-        rows.select(
-            F.col("pid").cast("bigint").alias("Pid"),
-            clock.as_timestamp(rows, "datatime").alias("measurement_timestamp"),
-            *[c for c in rows.columns if c not in ("pid", "datatime")],
-        )
+        sessions.normalize_sessionized(rows)
+        .withColumnRenamed("pid", "Pid")
+        .withColumnRenamed("datatime", "measurement_timestamp")
     )
 
 

@@ -237,6 +237,29 @@ def with_group_start(df: DataFrame, key: str, name: str = "session_start_ts") ->
     return df.drop(name).join(starts, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
+def normalize_sessionized(sessionized: DataFrame) -> DataFrame:
+    """A sessionized table with integer subjects, timestamps, and every session start.
+
+    A missing start is the earliest reading of the session. Only sessions that
+    lack a start on some row take part in the look-up.
+    """
+    typed = sessionized.withColumns({
+        "pid": F.col("pid").cast("bigint"),
+        "datatime": as_timestamp(sessionized, "datatime"),
+        "session_start_ts": as_timestamp(sessionized, "session_start_ts"),
+    })
+    earliest = (
+        typed.groupBy(F.col("session_id").alias("_session"))
+        .agg(F.min("datatime").alias("_earliest"), F.bool_or(F.col("session_start_ts").isNull()).alias("_lacks"))
+        .filter("_lacks")
+    )
+    return (
+        typed.join(earliest, F.col("session_id").eqNullSafe(F.col("_session")), "left")
+        .withColumn("session_start_ts", F.coalesce("session_start_ts", "_earliest"))
+        .select(*typed.columns)
+    )
+
+
 def session_readings(sessionized: DataFrame, session: str) -> DataFrame:
     """The readings of one session, in time order."""
     return sessionized.filter(F.col("session_id") == F.lit(session)).orderBy("datatime")

@@ -12,6 +12,7 @@ from haemoloom.plans import classifier, tables, training
 from haemoloom.plans.risk import risk_from_csv
 from haemoloom.operators.enrich import enrich
 from haemoloom.operators.sessions import sessionize
+from haemoloom.sources.payload import payload_documents, payload_instances, read_payload, write_payload
 from haemoloom.sources.session_csv import write_session_csv
 from test_features import random_inputs
 
@@ -115,6 +116,10 @@ def test_training_run(spark, tmp_path):
     assert {r.session_id for r in risk} == {r.session_id for r in rows}
     assert {r.risk for r in risk} <= {"High", "Low"}
 
+    write_payload(payload_documents(features), str(tmp_path / "payload"))
+    sent = classifier.predict(model, payload_instances(read_payload(spark, str(tmp_path / "payload"))))
+    assert sorted(r.probability_1 for r in sent.collect()) == pytest.approx(sorted(r.probability_1 for r in rows))
+
     again, _ = training.train_and_export(spark, path, names, skip_features=True, maxIter=3, maxDepth=3)
     assert again.stages[-1].getNumTrees == 3
     spark.sql("DROP DATABASE run_db CASCADE")

@@ -181,6 +181,21 @@ def test_times_before_1970(spark):
     assert [r.session_id for r in got] == ["1_1", "1_1", "1_1", "1_2"]
 
 
+def test_missing_starts_are_filled_row_by_row(spark):
+    df = spark.createDataFrame(
+        [("1", DAY + timedelta(hours=1), "1_1", DAY), ("1", DAY + timedelta(hours=2), "1_1", None),
+         ("1", DAY + timedelta(hours=30), "1_2", None), (None, DAY, None, None)],
+        "pid string, datatime timestamp, session_id string, session_start_ts timestamp",
+    )
+    got = sorted((r.datatime, r.pid, r.session_start_ts) for r in op.normalize_sessionized(df).collect())
+    assert got == [
+        (DAY, None, DAY),
+        (DAY + timedelta(hours=1), 1, DAY),
+        (DAY + timedelta(hours=2), 1, DAY + timedelta(hours=1)),
+        (DAY + timedelta(hours=30), 1, DAY + timedelta(hours=30)),
+    ]
+
+
 def test_readings_of_one_and_of_many_sessions(spark):
     table = op.sessionize(frame(spark, skewed_rows()))
     one = op.session_readings(table, "1_2").collect()
