@@ -1,5 +1,6 @@
 """Session conventions: UTC time and shared scratch space."""
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="haemoloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
 
@@ -35,9 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="haemoloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,6 +9,7 @@ from brute import auc
 from haemoloom.operators import metrics
 from haemoloom.operators.risk import class_weights, session_risk
 from haemoloom.plans import classifier, tables, training
+from haemoloom.plans.features import features_from_telemetry
 from haemoloom.plans.risk import risk_from_csv
 from haemoloom.operators.enrich import enrich
 from haemoloom.operators.sessions import sessionize
@@ -82,6 +83,17 @@ def test_class_weights_balance(spark):
     assert {r.label: r.class_weight for r in class_weights(df).collect()} == {0: 8 / 12, 1: 2.0}
 
 
+def test_classifier_learns_a_rule(spark, tmp_path):
+    """A label that follows from the inputs, missing ones included, is found on held-out sessions."""
+    rule = (F.col("avg_sbp") < 105) | (F.col("lag_1_avg_sbp").isNull() & (F.col("gender") == "F"))
+    features_from_telemetry(*random_inputs(spark, 12)).withColumn(
+        "label", F.when(rule, 1).otherwise(0)
+    ).write.parquet(str(tmp_path / "features"))
+    features = spark.read.parquet(str(tmp_path / "features"))
+    quality = classifier.evaluate_model(classifier.train(features, maxIter=5, maxDepth=4), features).first()
+    assert quality.roc_auc > 0.95 and quality.accuracy > 0.9
+
+
 def test_training_run(spark, tmp_path):
     """Raw tables to sessions, features, model, quality and the risk of sessions in CSV files."""
     readings, visits, profiles = random_inputs(spark, 6)
