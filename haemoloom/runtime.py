@@ -1,7 +1,5 @@
 """Session conventions: UTC time and shared scratch space."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,22 +24,10 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="haemoloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
-
-    Only a local master without that setting gets a folder of its own.
-    """
+    """Folder that every executor sees: ``spark.checkpoint.dir``, else one beside the warehouse's tables."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

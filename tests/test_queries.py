@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracle, spark_queries
 from checks.compare import connect, difference
 from conftest import SMALLEST
 
 
 def test_every_query_but_the_fitted_ones_has_sql():
-    without = set(contract.queries()) - set(contract.oracle_sql())
+    without = set(spark_queries.queries()) - set(oracle.oracle_sql())
     assert without == {"ml_train", "ml_explain", "ml_evaluate_model", "ml_predict", "ml_export", "ml_csv_to_risk"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
@@ -17,6 +18,6 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_matches_sql(spark, name):
     assert difference(spark, connect(SMALLEST), SMALLEST, name) is None
