@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from haemoloom.llm import bpe, exact_dedup, packing, token_files
+from haemoloom.llm import bpe, chat, exact_dedup, line_rules, near_dedup, packing, personal_data, token_files, url_rules
 from haemoloom.runtime import scratch_path
 
 
@@ -23,18 +24,55 @@ def op2_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_line_rules(spark, sf_dir):
+    return line_rules.judge_lines(_table(spark, sf_dir, "documents"))
+
+
+def op4_url_rules(spark, sf_dir):
+    rules = spark.sql(
+        """SELECT * FROM VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block') AS rules(host, path, verdict)"""
+    )
+    return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
 def op6_bpe(spark, sf_dir):
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_personal_data(spark, sf_dir):
+    return personal_data.span_texts(personal_data.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op9_packing(spark, sf_dir):
     return token_files.with_crc32(packing.pack(_table(spark, sf_dir, "documents"))).drop("n_ids")
 
 
+def op10_chat(spark, sf_dir):
+    said = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(turns.unionByName(more)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_token_files": op2_token_files,
+        "op3_line_rules": op3_line_rules,
+        "op4_url_rules": op4_url_rules,
         "op6_bpe": op6_bpe,
+        "op7_near_dedup": op7_near_dedup,
+        "op8_personal_data": op8_personal_data,
         "op9_packing": op9_packing,
+        "op10_chat": op10_chat,
     }
