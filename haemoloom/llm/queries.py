@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haemoloom.llm import bpe, chat, exact_dedup, line_rules, near_dedup, packing, personal_data, token_files, url_rules
+from haemoloom.llm import bpe, chat, exact_dedup, line_rules, near_dedup, packing, personal_data, quality_model, token_files, url_rules
 from haemoloom.runtime import scratch_path
 
 
@@ -36,6 +36,10 @@ def op4_url_rules(spark, sf_dir):
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op5_quality_model(spark, sf_dir):
+    return quality_model.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark, sf_dir):
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op3_line_rules": op3_line_rules,
         "op4_url_rules": op4_url_rules,
+        "op5_quality_model": op5_quality_model,
         "op6_bpe": op6_bpe,
         "op7_near_dedup": op7_near_dedup,
         "op8_personal_data": op8_personal_data,
