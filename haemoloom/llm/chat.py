@@ -48,6 +48,7 @@ def _visited(part: Column, index: Column) -> Column:
     is_text = kind == "text"
     return F.struct(
         is_text.alias("is_text"),
+        index.alias("index"),
         kind.alias("type"),
         part["ref"].alias("ref"),
         F.when(is_text, escape(F.coalesce(part["text"], F.lit(""))))
@@ -105,8 +106,8 @@ def format_conversations(
     span = F.when(F.col("trained"), F.struct("place", body_start.alias("start"), (body_start + F.col("size")).alias("end")))
     attached = F.transform(
         "others",
-        lambda v, i: F.struct(
-            (F.col("place") - 1).alias("turn"), i.alias("index"), v["type"].alias("type"), v["ref"].alias("ref"), v["tokens"].alias("tokens")
+        lambda v: F.struct(
+            (F.col("place") - 1).alias("turn"), v["index"].alias("index"), v["type"].alias("type"), v["ref"].alias("ref"), v["tokens"].alias("tokens")
         ),
     )
     grouped = rows.groupBy("conv_id").agg(
