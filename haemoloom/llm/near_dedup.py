@@ -11,7 +11,7 @@ the full sets.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haemoloom.llm.common import byte_texts, stored, text_keys, text_or_empty
@@ -33,6 +33,9 @@ LEAST_DEPTH = 3
 #: with the first document of each prefix it shares.
 FOLLOWERS = 12
 
+#: Documents of a component that stand for all of it, for documents beside it.
+HUBS = 32
+
 #: Slots in a hundred that must agree before full sets are compared: four standard
 #: deviations below the threshold.
 LEAST_AGREEMENT = 0.62
@@ -209,21 +212,58 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return with_sets.select("a", "b", "one", "two").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``pairs`` whose ends are not yet in one component, with their components."""
+    side = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    known = pairs.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
+    known = known.select("a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"))
+    return known.filter("root_a != root_b")
+
+
+def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The ``pairs`` that agree in enough slots of their signatures."""
+
+    def compare(batches):
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, _SLOTS) for i in (2, 3))
+            good = pa.array(np.flatnonzero((one == two).mean(axis=1) >= LEAST_AGREEMENT))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(good), batch.column(1).take(good)], ["a", "b"])
+
+    side = lambda end, name: classes.select(F.col("node").alias(end), F.col("signature").alias(name))
+    signed = pairs.join(side("a", "one"), "a").join(side("b", "two"), "b")
+    return signed.select("a", "b", "one", "two").mapInArrow(compare, "a long, b long")
+
+
+def _hub_pairs(pairs: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Each document beside a component that it is not in, with the hubs of that component.
+
+    The hubs have the most links: copies that were changed least, which are the
+    most similar to all others. A large group is searched so without its pairs.
+    """
+    beside = _apart(pairs, roots)
+    beside = beside.select(F.col("a").alias("one"), F.col("root_b").alias("root")).union(beside.select("b", "root_a")).distinct()
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
+    order = Window.partitionBy("root").orderBy(F.desc("degree"), "node")
+    hubs = ends.join(roots, "node").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
+    both = beside.join(hubs.select("root", F.col("node").alias("two")), "root")
+    return both.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """``node`` and ``root`` of all linked nodes.
 
-    First each node's best candidate is confirmed. Then only candidates that are
-    not yet in one component are.
+    First each node's best candidate is confirmed, then the candidates that are
+    not yet in one component, and last the hubs of components beside a document.
     """
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "agreement").union(pairs.select("b", "a", "b", "agreement"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("agreement", "a", "b")).alias("pair"))
     links = stored(_confirmed(best.select("pair.*").distinct(), sets), "near-links")
     roots = stored(connected_components(links), "near-roots")
-    side = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-    apart = pairs.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    more = stored(_confirmed(apart.join(links, ["a", "b"], "left_anti"), sets), "near-links")
-    return connected_components(links.union(more))
+    second = _apart(pairs, roots).select("a", "b").join(links, ["a", "b"], "left_anti")
+    links = links.union(stored(_confirmed(second, sets), "near-links"))
+    roots = stored(connected_components(links), "near-roots")
+    third = _agreeing(_hub_pairs(pairs, links, roots).join(pairs, ["a", "b"], "left_anti"), classes)
+    return connected_components(links.union(stored(_confirmed(third, sets), "near-links")))
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -233,7 +273,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     signed = stored(rows.mapInArrow(_sign, _SIGNED), "near-signed")
     classes = _representatives(signed)
     pairs = _forest_pairs(classes)
-    roots = stored(_linked(pairs, _full_sets(rows, classes, pairs)), "near-roots")
+    roots = stored(_linked(pairs, _full_sets(rows, classes, pairs), classes), "near-roots")
     rooted = classes.select("s1", "s2", "node", F.col("first.doc_id").alias("first_id")).join(roots, "node", "left")
     rooted = rooted.select("s1", "s2", "first_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component"))
