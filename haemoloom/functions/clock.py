@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOUR_US = 3_600_000_000
+SECOND_US = 1_000_000
 MINUTE_US = 60_000_000
 DAY_US = 86_400_000_000
 

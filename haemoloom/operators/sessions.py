@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from haemoloom.functions.clock import HOUR_US, as_timestamp, elapsed_hours, elapsed_us, slot_start_us
+from haemoloom.functions.clock import HOUR_US, SECOND_US, as_timestamp, elapsed_hours, elapsed_us, slot_start_us
 from haemoloom.functions.features import session_id
 from haemoloom.schemas import SESSION_READING_COLUMNS
 from haemoloom.settings import Settings
@@ -23,10 +23,6 @@ NO_TIME = -(2**63)
 
 SLOT_KEYS = ["_subject", "_unknown", "slot"]
 
-# A subject's hour with more readings than this is reduced to distinct readings
-# before it is put in order.
-CROWDED_HOUR = 5_000_000
-
 # Copies of one reading that a single row stands for while they are spread out.
 COPIES_PER_ROW = 100_000
 
@@ -138,6 +134,30 @@ def repeat_rows(df: DataFrame, copies: str, keys: list[str]) -> DataFrame:
     )
 
 
+def first_of_ties(ties: DataFrame, columns: list[str], keys: list[str], flag: str) -> DataFrame:
+    """``ties`` with ``flag`` true on exactly one row of each group of ``keys``.
+
+    It is the row that sorts first by ``columns``; of exact copies, any one.
+    Copies are counted before they are shuffled and written out again after, and
+    the first row is found by a partial aggregation, so neither many copies nor
+    many different rows of one key meet in one task.
+    """
+    rest = [c for c in ties.columns if c not in columns]
+    counted = ties.groupBy(*ties.columns).agg(F.count(F.lit(1)).alias("_same"))
+    # All columns, so that both uses of the counted rows are alike and share their shuffle.
+    values = F.struct(*[F.col(c) for c in (*columns, *rest, "_same")])
+    firsts = counted.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]).agg(F.min(values).alias("_first"))
+    same_key = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+    kept = F.struct(F.lit(True).alias(flag), F.lit(1).cast("bigint").alias("_copies"))
+    others = lambda n: F.struct(F.lit(False).alias(flag), n.alias("_copies"))
+    parts = F.when(values.eqNullSafe(F.col("_first")), F.array(kept, others(F.col("_same") - 1))).otherwise(
+        F.array(others(F.col("_same")))
+    )
+    marked = counted.join(firsts, same_key).select(*columns, *rest, F.explode(parts).alias("_part"))
+    marked = marked.select(*columns, *rest, "_part.*").filter(F.col("_copies") > 0)
+    return repeat_rows(marked, "_copies", keys)
+
+
 def sessionize(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add is_new_session, session_id and session_start_ts to telemetry.
 
@@ -151,73 +171,57 @@ def sessionize(readings: DataFrame, settings: Settings = Settings()) -> DataFram
 
     # A reading without a time always begins a session.
     body = placed.filter(~F.col("opening")).withColumn("is_new_session", F.col("datatime").isNull().cast("int"))
-
-    heads = placed.filter("opening")
-    first = Window.partitionBy("pid", "datatime").orderBy(*[F.col(c) for c in columns])
-    kept = F.struct(F.lit(1).alias("is_new_session"), F.lit(1).cast("bigint").alias("copies"))
-    rest = F.struct(F.lit(0).alias("is_new_session"), (F.col("same") - 1).alias("copies"))
-    others = F.struct(F.lit(0).alias("is_new_session"), F.col("same").alias("copies"))
-    heads = (
-        heads.groupBy(*columns, "session_id", "session_start_ts")
-        .agg(F.count(F.lit(1)).alias("same"))
-        .withColumn("place", F.row_number().over(first))
-        .withColumn("part", F.explode(F.when(F.col("place") == 1, F.array(kept, rest)).otherwise(F.array(others))))
-        .select(*columns, "session_id", "session_start_ts", "part.*")
-        .filter(F.col("copies") > 0)
-    )
-    heads = repeat_rows(heads, "copies", ["pid", "datatime"])
+    heads = placed.filter("opening").select(*columns, "session_id", "session_start_ts")
+    heads = first_of_ties(heads, columns, ["pid", "datatime"], "_opens")
+    heads = heads.withColumn("is_new_session", F.col("_opens").cast("int"))
     return body.select(output).unionByName(heads.select(output))
 
 
+def previous_times(timed: DataFrame) -> DataFrame:
+    """``datatime`` of each subject's distinct times, how often it has it, and the time before.
+
+    Times are looked for inside the second, then among earlier seconds of the hour,
+    then among earlier hours: a second holds a million different times at most, an
+    hour 3600 seconds, and hours are bounded by the calendar.
+    """
+    subject = ["_subject", "_unknown"]
+    second, hour = slot_of(SECOND_US).alias("second"), slot_of(HOUR_US).alias("hour")
+    times = timed.groupBy(*subject, "datatime").agg(F.count(F.lit(1)).alias("at_once"))
+    times = times.select(*subject, "datatime", "at_once", second, hour)
+    # The count keeps the three uses of the times alike, so that they share a shuffle.
+    last = F.max(F.struct("datatime", "at_once"))
+    seconds = times.groupBy(*subject, "hour", "second").agg(last.alias("last"))
+    hours = seconds.groupBy(*subject, "hour").agg(F.max("last").alias("last"))
+    within_hour = Window.partitionBy(*subject, "hour").orderBy("second")
+    seconds = seconds.select(*subject, "second", F.lag("last.datatime").over(within_hour).alias("earlier_second"))
+    hours = hours.select(*subject, "hour", F.lag("last.datatime").over(Window.partitionBy(*subject).orderBy("hour")).alias("earlier_hour"))
+    within_second = Window.partitionBy(*subject, "second").orderBy("datatime")
+    lagged = times.withColumn("earlier", F.lag("datatime").over(within_second))
+    joined = lagged.join(seconds, [*subject, "second"]).join(hours, [*subject, "hour"])
+    return joined.select(*subject, "datatime", "at_once", F.coalesce("earlier", "earlier_second", "earlier_hour").alias("before"))
+
+
 def previous_reading(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add the subject's previous reading time and the hours since then.
 
-    The lag runs inside (subject, hour) groups. The first reading of an hour
-    takes its previous time from the last hour that has readings. Crowded hours
-    hold copies, which are counted before the shuffle and written out after it.
+    Of readings at one time, the one that sorts first by its values has the time
+    before as its previous one; to the others it is their own time.
     """
     readings = with_timestamp(readings)
     columns = readings.columns
-    timed = with_slot_keys(readings.filter(F.col("datatime").isNotNull()).withColumn("slot", slot_of(HOUR_US)))
-
-    in_order = Window.partitionBy("pid").orderBy("slot")
-    hours = with_slot_keys(
-        reading_slots(timed.select("pid", "datatime"), slot_of(HOUR_US)).select(
-            "pid", "slot", "readings", F.lag("last_ts").over(in_order).alias("before")
-        )
-    )
-    # One row per CROWDED_HOUR readings at most: a small list for any table.
-    crowded = F.broadcast(hours.filter(F.col("readings") > CROWDED_HOUR).select(SLOT_KEYS))
-    before = hours.select(*SLOT_KEYS, "before")
-
-    within = Window.partitionBy(SLOT_KEYS).orderBy("datatime")
-    ordinary = (
-        timed.join(crowded, SLOT_KEYS, "left_anti")
-        .join(before, SLOT_KEYS)
-        .select(*columns, F.coalesce(F.lag("datatime").over(within), "before").alias("previous_ts"))
-    )
-
-    among_distinct = Window.partitionBy(SLOT_KEYS).orderBy("datatime", *columns)
-    earlier = F.coalesce(F.lag("datatime").over(among_distinct), "before")
-    first = F.struct(earlier.alias("previous_ts"), F.lit(1).cast("bigint").alias("copies"))
-    rest = F.struct(F.col("datatime").alias("previous_ts"), (F.col("same") - 1).alias("copies"))
-    counted = (
-        timed.join(crowded, SLOT_KEYS, "left_semi")
-        .groupBy(*SLOT_KEYS, *columns)
-        .agg(F.count(F.lit(1)).alias("same"))
-        .join(before, SLOT_KEYS)
-        .withColumn("part", F.array(first, rest))
-        .select(*columns, F.explode("part").alias("part"))
-        .select(*columns, "part.*")
-        .filter(F.col("copies") > 0)
-    )
-    copied = repeat_rows(counted, "copies", ["pid", "datatime"])
-
-    untimed = readings.filter(F.col("datatime").isNull()).withColumn(
-        "previous_ts", F.lit(None).cast("timestamp")
+    zero = F.lit(0).cast(readings.schema["pid"].dataType)
+    timed = readings.filter(F.col("datatime").isNotNull()).withColumns(
+        {"_subject": F.coalesce("pid", zero), "_unknown": F.col("pid").isNull()}
     )
+    found = timed.join(previous_times(timed.select("_subject", "_unknown", "datatime")), ["_subject", "_unknown", "datatime"])
+    # A difference, so that it filters joined rows: both uses share their shuffles.
+    alone = F.col("at_once") - 1 == 0
+    single = found.filter(alone).select(*columns, F.col("before").alias("previous_ts"))
+    ties = first_of_ties(found.filter(~alone).select(*columns, "before"), columns, ["pid", "datatime"], "_leads")
+    tied = ties.select(*columns, F.when(F.col("_leads"), F.col("before")).otherwise(F.col("datatime")).alias("previous_ts"))
+    untimed = readings.filter(F.col("datatime").isNull()).withColumn("previous_ts", F.lit(None).cast("timestamp"))
     gap = elapsed_hours(F.col("previous_ts"), F.col("datatime"), settings.serving)
-    return ordinary.unionByName(copied).unionByName(untimed).withColumn("gap_hours", gap)
+    return single.unionByName(tied).unionByName(untimed).withColumn("gap_hours", gap)
 
 
 def new_session_flags(readings: DataFrame, settings: Settings = Settings()) -> DataFrame:

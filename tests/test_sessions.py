@@ -147,22 +147,51 @@ def test_agrees_with_session_window(spark, settings, gap):
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
 
 
-@pytest.mark.parametrize("crowded", [op.CROWDED_HOUR, 30, 0])
-def test_previous_reading_against_loops(spark, monkeypatch, crowded):
-    """With a low limit, hours (in the end all of them) take the way of crowded hours."""
-    monkeypatch.setattr(op, "CROWDED_HOUR", crowded)
+def crowded_rows(seed, copies):
+    """Rows of one subject inside an hour: many different ones, or copies of few."""
+    rng = random.Random(seed)
+    moments = [DAY + timedelta(microseconds=rng.randrange(3_600_000_000 if i % 2 else 3_000_000)) for i in range(500)]
+    return [(1, rng.choice(moments[:3]) if copies else t, rng.choice([None, 80, 90])) for t in moments]
+
+
+@pytest.mark.parametrize("rows", [skewed_rows(5), crowded_rows(1, False), crowded_rows(2, True)])
+def test_previous_reading_against_loops(spark, monkeypatch, rows):
     monkeypatch.setattr(op, "COPIES_PER_ROW", 64)
-    rows = skewed_rows(5)
     got = op.previous_reading(frame(spark, rows)).collect()
     by_pid = {}
-    for pid, time, _ in rows:
-        by_pid.setdefault(pid, []).append(time)
+    for pid, time, sbp in rows:
+        by_pid.setdefault(pid, []).append((time, sbp))
     expected = Counter()
-    for pid, times in by_pid.items():
-        timed = sorted(t for t in times if t is not None)
-        expected.update((pid, t, p) for t, p in zip(timed, [None, *timed]))
-        expected.update((pid, None, None) for t in times if t is None)
-    assert Counter((r.pid, r.datatime, r.previous_ts) for r in got) == expected
+    for pid, held in by_pid.items():
+        timed = sorted((x for x in held if x[0] is not None), key=lambda x: (x[0], x[1] is not None, x[1]))
+        expected.update((pid, t, v, p) for (t, v), p in zip(timed, [None, *[t for t, _ in timed]]))
+        expected.update((pid, None, v, None) for t, v in held if t is None)
+    assert Counter((r.pid, r.datatime, r.sbp, r.previous_ts) for r in got) == expected
+
+
+def test_ties_are_flagged_alike_by_both_operators(spark):
+    rows = [(1, DAY + timedelta(hours=20 * i), v) for i in range(4) for v in (90, 80, 80, None, 110)]
+    rows += [(None, DAY, 3), (None, DAY, 2)]
+    opened = op.sessionize(frame(spark, rows)).select("pid", "datatime", "sbp", "is_new_session").collect()
+    flagged = op.new_session_flags(frame(spark, rows)).select("pid", "datatime", "sbp", "is_new_session").collect()
+    assert Counter(map(tuple, opened)) == Counter(map(tuple, flagged))
+    assert sum(r.is_new_session for r in flagged) == 5
+
+
+def test_lag_reads_the_readings_twice_at_most(spark, tmp_path):
+    path = str(tmp_path / "readings")
+    frame(spark, skewed_rows()).write.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = plan_of(op.previous_reading(spark.read.parquet(path)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    # Besides, readings without a time are read, and only they.
+    assert plan.count("FileScan parquet") - plan.count("PushedFilters: [IsNull(datatime)]") == 2
+    assert "Broadcast" not in plan
 
 
 def test_integer_times_are_nanoseconds(spark):
@@ -220,5 +249,5 @@ def test_readings_are_shuffled_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", True)
-    assert plan.count("ReusedExchange [pid") == 2  # the readings, and their slots
+    assert plan.count("ReusedExchange [pid") == 3  # the readings, their slots, and the counted openings
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -175,18 +175,10 @@ def test_scratch_paths_lie_in_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-class Unset:
-    """A session without a shared folder."""
-
-    def __init__(self, master):
-        self.conf = {}
-        self.sparkContext = SimpleNamespace(master=master)
-
-
-def test_only_a_local_master_goes_without_a_shared_folder():
-    assert shared_folder(Unset("local[2]")) == shared_folder(Unset("local[*]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Unset("spark://host:7077"))
+def test_shared_folder_is_the_session_s_or_beside_its_tables():
+    conf = {"spark.sql.warehouse.dir": "file:/tables"}
+    assert shared_folder(SimpleNamespace(conf=conf)) == "file:/tables/_scratch"
+    assert shared_folder(SimpleNamespace(conf=conf | {"spark.checkpoint.dir": "hdfs:/shared/"})) == "hdfs:/shared"
 
 
 def test_setup_from_csv(spark, tmp_path):
