@@ -33,7 +33,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     start = 50 + key % 40
-    dry = start - (1 + key % 3)
+    # Visits of one day share key % 30, and still differ in what they lose.
+    dry = start - (1 + F.floor(key / 30) % 3)
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("pid"),
         F.timestamp_seconds(1_704_067_200 + (key % 30) * 86_400).alias("keyindate"),

@@ -23,8 +23,8 @@ registration AS (
               ELSE CAST(12 + o_orderkey % 13 AS VARCHAR) || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0')
          END AS dialysisend,
          CAST(50 + o_orderkey % 40 AS DOUBLE) AS weightstart,
-         CAST(50 + o_orderkey % 40 - (1 + o_orderkey % 3) AS DOUBLE) + 0.5 AS weightend,
-         CAST(50 + o_orderkey % 40 - (1 + o_orderkey % 3) AS DOUBLE) AS dryweight,
+         CAST(50 + o_orderkey % 40 - (1 + (o_orderkey // 30) % 3) AS DOUBLE) + 0.5 AS weightend,
+         CAST(50 + o_orderkey % 40 - (1 + (o_orderkey // 30) % 3) AS DOUBLE) AS dryweight,
          36 + CAST(o_orderkey % 10 AS DOUBLE) / 10 AS temperature
   FROM orders),
 demographics AS (
@@ -118,7 +118,6 @@ def features(hours=12, minutes=15, serving_gap=False, serving_values=False) -> s
 binned AS (
   SELECT pid, session_id, {_bin(minutes)} AS time_bin, min(session_start_ts) AS session_start_ts, {_STATISTICS},
          min({{'start': weightstart, 'dry': dryweight}}) AS weights,
-         min(weightstart) AS any_start, min(dryweight) AS any_dry,
          min(gender) AS gender, min(birthday) AS birthday, bool_and(DM) AS DM,
          min(first_dialysis_ts) AS first_dialysis_ts
   FROM combined WHERE datatime IS NOT NULL GROUP BY 1, 2, 3),
@@ -129,7 +128,7 @@ features AS (
            AS dataset_split,
          year(session_start_ts) - birthday AS age_at_session,
          {vintage} AS dialysis_vintage_years,
-         {"any_start - any_dry" if serving_values else "weights.start - weights.dry"} AS fluid_to_remove,
+         weights.start - weights.dry AS fluid_to_remove,
          {into} AS minutes_into_session
   FROM temporal)"""
 
@@ -339,7 +338,7 @@ def oracle_sql() -> dict[str, str]:
         "agg_min": _bins("SELECT pid, session_id, time_bin, min_sbp FROM binned"),
         "agg_stddev": _bins(f"SELECT pid, session_id, time_bin, {r9('stddev_sbp')} FROM binned", 360),
         "agg_any_value": _features(
-            """SELECT pid, session_id, time_bin, session_start_ts, any_start AS weightstart, any_dry AS dryweight,
+            """SELECT pid, session_id, time_bin, session_start_ts, weights.start AS weightstart, weights.dry AS dryweight,
             gender, birthday, DM AS "DM", first_dialysis_ts FROM features"""
         ),
         "agg_session_risk": bins() + _RISK,

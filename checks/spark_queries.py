@@ -51,6 +51,14 @@ def _features(spark, sf_dir, settings=_DEFAULT):
     )
 
 
+def _serving(spark, sf_dir, sessions_by=_DEFAULT):
+    """Scoring features, with the sessions that ``sessions_by`` finds."""
+    placed = _placed(spark, sf_dir, sessions_by)
+    return features.features_from_sessions(
+        placed, registration(spark, sf_dir), demographics(spark, sf_dir), _SERVING, columns=features.serving_columns
+    )
+
+
 def _bins(spark, sf_dir, settings=_DEFAULT):
     return bins.session_bins(_placed(spark, sf_dir), settings)
 
@@ -107,7 +115,8 @@ def features_wide_bins(spark, sf_dir):
 
 
 def features_serving(spark, sf_dir):
-    return plain(features.serving_features(_enriched(spark, sf_dir, _SERVING)))
+    inputs = telemetry(spark, sf_dir), registration(spark, sf_dir), demographics(spark, sf_dir)
+    return plain(features.features_from_telemetry(*inputs, _SERVING, columns=features.serving_columns))
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -200,7 +209,7 @@ def src_machine_jsonl(spark, sf_dir):
 
 
 def _payload_features(spark, sf_dir):
-    return features.serving_features(_enriched(spark, sf_dir), _SERVING)
+    return _serving(spark, sf_dir)
 
 
 def sink_payload_json(spark, sf_dir):

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haemoloom.functions.clock import as_timestamp, time_bin
+from haemoloom.operators.enrich import chosen_weights, weight_choices
 from haemoloom.settings import Settings
 
 # Reading column -> name of its bin average.
@@ -70,13 +71,16 @@ def session_bins(sessionized: DataFrame, settings: Settings) -> DataFrame:
 def enriched_bins(rows: DataFrame, settings: Settings) -> DataFrame:
     """Bins of readings that already carry registration and demographic columns.
 
-    Session constants are the lowest known value in the bin.
+    Session constants are the lowest known value in the bin, and both weights come
+    from one visit.
     """
-    constants = ["weightstart", "dryweight", "gender", "birthday", "DM", "session_start_ts", "first_dialysis_ts"]
+    constants = ["gender", "birthday", "DM", "session_start_ts", "first_dialysis_ts"]
     return (
         rows.filter(F.col("datatime").isNotNull())
         .groupBy("pid", "session_id", time_bin(F.col("datatime"), settings.interval).alias("time_bin"))
-        .agg(*bin_statistics(), *[F.min(c).alias(c) for c in constants])
+        .agg(*bin_statistics(), *weight_choices(), *[F.min(c).alias(c) for c in constants])
+        .withColumns({"weightstart": chosen_weights()[0], "dryweight": chosen_weights()[1]})
+        .drop("pair", "any_start", "any_dry")
     )
 
 

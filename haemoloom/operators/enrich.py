@@ -4,7 +4,7 @@ No side is broadcast by hand: Spark broadcasts one when its measured size is
 under ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haemoloom.functions.clock import as_timestamp
@@ -12,6 +12,25 @@ from haemoloom.functions.clock import as_timestamp
 _DAY = "session_date"
 
 
+def weight_choices() -> list[Column]:
+    """Aggregates from which ``chosen_weights`` takes a group's weights."""
+    pair = F.struct(
+        F.col("weightstart").isNull().alias("no_start"),
+        F.col("dryweight").isNull().alias("no_dry"),
+        "weightstart",
+        "dryweight",
+    )
+    return [F.min(pair).alias("pair"), F.min("weightstart").alias("any_start"), F.min("dryweight").alias("any_dry")]
+
+
+def chosen_weights() -> list[Column]:
+    """Both weights of the visit that sorts first among those with both; else the lowest known of each."""
+    return [
+        F.coalesce("pair.weightstart", "any_start").alias("weightstart"),
+        F.coalesce("pair.dryweight", "any_dry").alias("dryweight"),
+    ]
+
+
 def registration_by_day(registration: DataFrame, one_per_day: bool = False) -> DataFrame:
     """One row per subject and day: the visit's weights and the number of visits.
 
@@ -20,29 +39,12 @@ def registration_by_day(registration: DataFrame, one_per_day: bool = False) -> D
     that day, or 1 with ``one_per_day``.
     """
     dated = registration.withColumn(_DAY, F.to_date(as_timestamp(registration, "keyindate")))
-    pair = F.struct(
-        F.col("weightstart").isNull().alias("no_start"),
-        F.col("dryweight").isNull().alias("no_dry"),
-        "weightstart",
-        "dryweight",
-    )
     visits = F.lit(1).cast("bigint") if one_per_day else F.count(F.lit(1))
     return (
         dated.filter(F.col(_DAY).isNotNull())
         .groupBy("pid", _DAY)
-        .agg(
-            F.min(pair).alias("pair"),
-            F.min("weightstart").alias("any_start"),
-            F.min("dryweight").alias("any_dry"),
-            visits.alias("visits"),
-        )
-        .select(
-            "pid",
-            _DAY,
-            F.coalesce("pair.weightstart", "any_start").alias("weightstart"),
-            F.coalesce("pair.dryweight", "any_dry").alias("dryweight"),
-            "visits",
-        )
+        .agg(*weight_choices(), visits.alias("visits"))
+        .select("pid", _DAY, *chosen_weights(), "visits")
     )
 
 

@@ -6,6 +6,8 @@ starts from a sessionized table. Both give the same rows. ``serving_features``
 works on readings that already carry their registration and demographics.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from haemoloom.operators.temporal import add_temporal_features
 from haemoloom.schemas import FEATURE_COLUMNS, SERVING_COLUMNS
 from haemoloom.settings import SERVING, Settings
 
+Columns = Callable[[DataFrame], DataFrame]
+
 
 def add_static_features(bins: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Age, dialysis vintage, fluid to remove and minutes into the session."""
@@ -36,12 +40,17 @@ def training_columns(bins: DataFrame) -> DataFrame:
     return bins.select(*[named.get(c, F.col(c)).alias(c) for c in FEATURE_COLUMNS])
 
 
-def _finished(bins, registration, demographics, settings, one_per_day) -> DataFrame:
+def serving_columns(bins: DataFrame) -> DataFrame:
+    """The columns of the scoring features, in order: no split, no bin time."""
+    return bins.select(*SERVING_COLUMNS)
+
+
+def _finished(bins, registration, demographics, settings, one_per_day, columns) -> DataFrame:
     # A join keeps or drops a session as a whole and repeats all its readings
     # alike, so the windows may run first and share the bins' partitioning.
     joined = join_visits(add_temporal_features(bins, settings), registration, demographics, one_per_day)
     spread = repeated_stddev(F.col("stddev_sbp"), F.col("sbp_readings"), F.col("copies"))
-    return training_columns(add_static_features(joined.withColumn("stddev_sbp", spread), settings))
+    return columns(add_static_features(joined.withColumn("stddev_sbp", spread), settings))
 
 
 def features_from_telemetry(
@@ -50,18 +59,19 @@ def features_from_telemetry(
     demographics: DataFrame,
     settings: Settings = Settings(),
     one_per_day: bool = False,
+    columns: Columns = training_columns,
 ) -> DataFrame:
-    """Training features of all sessions found in raw telemetry."""
+    """Features of all sessions found in raw telemetry; for training, unless ``columns`` is ``serving_columns``."""
     readings = with_timestamp(telemetry).filter(F.col("pid").isNotNull())
     # The bin at the epoch is two intervals wide. Bins that could hold a session
     # gap cannot stand for their readings when sessions are told apart.
     if 2 * settings.interval_us > settings.longest_pause_us + 1:
         return features_from_sessions(
-            attach_sessions(readings, settings), registration, demographics, settings, one_per_day
+            attach_sessions(readings, settings), registration, demographics, settings, one_per_day, columns
         )
     bins = place_sessions(slot_bins(readings, settings), settings, slot="time_bin")
     return _finished(
-        bins.filter(F.col("time_bin").isNotNull()), registration, demographics, settings, one_per_day
+        bins.filter(F.col("time_bin").isNotNull()), registration, demographics, settings, one_per_day, columns
     )
 
 
@@ -71,16 +81,17 @@ def features_from_sessions(
     demographics: DataFrame,
     settings: Settings = Settings(),
     one_per_day: bool = False,
+    columns: Columns = training_columns,
 ) -> DataFrame:
-    """Training features from a sessionized table."""
+    """Features from a sessionized table; for training, unless ``columns`` is ``serving_columns``."""
     readings = sessionized.filter(F.col("pid").isNotNull())
-    return _finished(session_bins(readings, settings), registration, demographics, settings, one_per_day)
+    return _finished(session_bins(readings, settings), registration, demographics, settings, one_per_day, columns)
 
 
 def serving_features(enriched: DataFrame, settings: Settings = Settings(semantics=SERVING)) -> DataFrame:
-    """Scoring features of enriched readings: no split, no bin time.
+    """Scoring features of readings that already carry their visits, such as those of session CSV files.
 
     The label looks ahead over hypotensive bins, as in the training features.
     """
     bins = add_temporal_features(enriched_bins(enriched, settings), settings)
-    return add_static_features(bins, settings).select(*SERVING_COLUMNS)
+    return serving_columns(add_static_features(bins, settings))
