@@ -4,6 +4,8 @@ They use plain per-subject windows and joins, so they check the slot-wise
 operators independently.
 """
 
+from haemoloom.schemas import MODEL_FEATURES
+
 INPUTS = """
 telemetry AS (
   SELECT user_id AS pid, ts AS datatime, event_id AS measuretime,
@@ -263,15 +265,14 @@ def oracle_sql() -> dict[str, str]:
             CAST(CAST(min(datatime) OVER (PARTITION BY pid) AS DATE) AS VARCHAR) AS session_date FROM telemetry"""
         ),
         "sink_payload_json": _features(
-            """SELECT session_id, count(*) AS instances,
-            round(arg_min(avg_sbp, time_bin), 9) AS first_avg_sbp,
-            round(arg_max(avg_sbp, time_bin), 9) AS last_avg_sbp
+            """SELECT session_id, CAST(0 AS BIGINT) AS part, count(*) AS instances,
+            string_agg(coalesce(CAST(min_sbp AS VARCHAR), 'none'), ',' ORDER BY time_bin) AS pressures
             FROM features GROUP BY session_id""",
             serving_values=True,
         ),
         "src_payload_json": _features(
             "SELECT * REPLACE (CAST(age_at_session AS DOUBLE) AS age_at_session, CAST(min_sbp AS DOUBLE) AS min_sbp) "
-            f"FROM (SELECT {INPUTS_SELECT} FROM features)",
+            f"FROM (SELECT session_id, {INPUTS_SELECT} FROM features)",
             serving_values=True,
         ),
         "sink_sessionized": _sessions(_SESSIONIZED),
@@ -424,4 +425,14 @@ def oracle_sql() -> dict[str, str]:
         "fn_round": "SELECT event_id, round(value / 3, 4) AS value_4 FROM events",
         # Machine learning on tables
         "ml_evaluate": metrics(9),
+        "ml_evaluate_model": "SELECT unnest(" + repr(METRIC_NAMES) + ") AS metric, true AS agrees",
+        "ml_train": _features(
+            """SELECT label, count(*) AS class_rows,
+            round(CAST(sum(count(*)) OVER () AS DOUBLE) / count(*) OVER () / count(*), 9) AS class_weight,
+            20 AS trees, 41 AS inputs FROM features WHERE dataset_split = 'TRAIN' GROUP BY label"""
+        ),
+        "ml_explain": f"SELECT unnest({MODEL_FEATURES!r}) AS feature, true AS is_share, CAST(1 AS DOUBLE) AS total",
+        "ml_predict": _features("SELECT session_id, time_bin, true AS sums_to_one, true AS label_is_larger FROM features"),
+        "ml_export": _features("SELECT session_id, time_bin, true AS same_score FROM features"),
+        "ml_csv_to_risk": _features("SELECT DISTINCT session_id, true AS agrees FROM features"),
     }

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.inputs import demographics, plain, registration, scored_documents, table, telemetry
@@ -191,10 +191,20 @@ def sink_session_csv(spark, sf_dir):
 
 
 def _telemetry_jsonl(spark, sf_dir):
-    """Telemetry as JSON Lines, with the nation names as lines that are no JSON."""
+    """Telemetry as JSON Lines, with the nation names as lines that are no JSON.
+
+    Times are ISO text, nanoseconds as a number or nanoseconds as text, and every
+    other pressure has a decimal point.
+    """
     path = scratch_path(spark, "telemetry_jsonl")
-    rows = telemetry(spark, sf_dir).withColumn("datatime", F.date_format("datatime", _TIME_TEXT))
-    rows.select(F.to_json(F.struct("*"))).write.text(path)
+    ns = (F.unix_micros("datatime") * 1000).cast("string")
+    by = F.col("measuretime") % 3
+    time = F.when(by == 0, F.concat(F.lit('"'), F.date_format("datatime", _TIME_TEXT), F.lit('"')))
+    time = F.coalesce(time.when(by == 1, ns).otherwise(F.concat(F.lit('"'), ns, F.lit('"'))), F.lit("null"))
+    point = F.when(F.col("measuretime") % 2 == 0, ".0").otherwise("")
+    rest = F.to_json(F.struct(*[c for c in telemetry(spark, sf_dir).columns if c not in ("datatime", "sbp")]))
+    head = F.concat(F.lit('{"datatime":'), time, F.lit(',"sbp":'), F.col("sbp").cast("string"), point, F.lit(","))
+    telemetry(spark, sf_dir).select(F.concat(head, F.substring(rest, 2, 1 << 20)).alias("line")).write.text(path)
     table(spark, sf_dir, "nation").select("n_name").write.mode("append").text(path)
     return path
 
@@ -204,7 +214,7 @@ def src_jsonl(spark, sf_dir):
 
 
 def src_machine_jsonl(spark, sf_dir):
-    rows = jsonl.read_machine_jsonl(spark, _telemetry_jsonl(spark, sf_dir))
+    rows = jsonl.read_machine_jsonl(spark, _telemetry_jsonl(spark, sf_dir)).rows
     return plain(rows.select("pid", "datatime", "sbp", "session_start_ts", "session_date"))
 
 
@@ -213,23 +223,25 @@ def _payload_features(spark, sf_dir):
 
 
 def sink_payload_json(spark, sf_dir):
-    """Documents with their number of instances and the ends of their time order."""
-    documents = payload.payload_documents(_payload_features(spark, sf_dir))
-    instances = F.from_json("payload", payload.DOCUMENT)["instances"]
-    return plain(
-        documents.select("session_id", instances.alias("list")).select(
-            "session_id",
-            F.size("list").cast("bigint").alias("instances"),
-            F.element_at("list", 1)["avg_sbp"].alias("first_avg_sbp"),
-            F.element_at("list", -1)["avg_sbp"].alias("last_avg_sbp"),
-        )
+    """Written documents, read as JSON, with their session and the lowest pressures in time order."""
+    path = scratch_path(spark, "payload")
+    payload.write_payload(payload.payload_documents(_payload_features(spark, sf_dir)), path)
+    written = spark.read.schema(
+        "instances array<struct<min_sbp: double>>, parameters struct<session_id: string, part: string>"
+    ).json(path)
+    shown = F.transform("instances.min_sbp", lambda v: F.coalesce(v.cast("bigint").cast("string"), F.lit("none")))
+    return written.select(
+        "parameters.session_id",
+        F.col("parameters.part").cast("bigint").alias("part"),
+        F.size("instances").cast("bigint").alias("instances"),
+        F.array_join(shown, ",").alias("pressures"),
     )
 
 
 def src_payload_json(spark, sf_dir):
     path = scratch_path(spark, "payload")
     payload.write_payload(payload.payload_documents(_payload_features(spark, sf_dir)), path)
-    return plain(payload.payload_instances(payload.read_payload(spark, path)))
+    return plain(payload.payload_instances(payload.read_payload(spark, path)).drop("part", "place"))
 
 
 def sink_sessionized(spark, sf_dir):
@@ -623,16 +635,24 @@ def _model(spark, sf_dir):
 
 
 def ml_train(spark, sf_dir):
-    """The fitted trees and their weights."""
-    _, model = _model(spark, sf_dir)
+    """What the model was fitted on and the size of what was fitted."""
+    rows, model = _model(spark, sf_dir)
     trees = model.stages[-1]
-    pairs = enumerate(zip(trees.trees, trees.treeWeights))
-    shape = [(i, tree.depth, tree.numNodes, float(weight)) for i, (tree, weight) in pairs]
-    return spark.createDataFrame(shape, "tree int, depth int, nodes int, weight double")
+    weights = risk.class_weights(classifier.train_rows(rows))
+    return plain(
+        weights.select(
+            "label", "class_rows", "class_weight", F.lit(trees.getNumTrees).alias("trees"), F.lit(trees.numFeatures).alias("inputs")
+        )
+    )
 
 
 def ml_explain(spark, sf_dir):
-    return classifier.feature_importance(_model(spark, sf_dir)[1], spark)
+    """The model's inputs, and whether their importances are shares of one."""
+    found = classifier.feature_importance(_model(spark, sf_dir)[1], spark)
+    whole = found.agg(F.sum("importance").alias("total"))
+    return found.select(
+        "feature", (F.col("importance") >= 0).alias("is_share"), F.round(whole.scalar(), 9).alias("total")
+    )
 
 
 def ml_evaluate(spark, sf_dir):
@@ -640,30 +660,67 @@ def ml_evaluate(spark, sf_dir):
 
 
 def ml_evaluate_model(spark, sf_dir):
-    """Quality of the fitted classifier on its TEST rows."""
+    """Which metrics of the classifier on TEST rows equal those that a plain count over its scores gives."""
     rows, model = _model(spark, sf_dir)
-    return classifier.evaluate_model(model, rows)
+    found = classifier.evaluate_model(model, rows)
+    scored = _stored(spark, classifier.predict(model, classifier.test_rows(rows)).select("label", "probability_1"), "test_scores")
+    score, positive = F.col("probability_1"), F.col("label") == 1
+    hit, p = score >= 0.5, F.greatest(F.least(score, F.lit(1 - 1e-15)), F.lit(1e-15))
+    # A positive's share of negatives under it, from its rank among all rows; ranks
+    # run over distinct scores, of which trees give few.
+    counts = scored.groupBy("probability_1").agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    under = F.sum("neg").over(Window.orderBy("probability_1").rowsBetween(Window.unboundedPreceding, -1))
+    won = counts.withColumn("won", F.col("pos") * (F.coalesce(under, F.lit(0)) + F.col("neg") / 2))
+    area = won.agg((F.sum("won") / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+    plainly = scored.agg(
+        (F.count_if(hit & positive) / F.count_if(hit)).alias("precision"),
+        (F.count_if(hit & positive) / F.count_if(positive)).alias("recall"),
+        F.avg((hit == positive).cast("double")).alias("accuracy"),
+        (2 * F.count_if(hit & positive) / (F.count_if(hit) + F.count_if(positive))).alias("f1_score"),
+        F.avg(-F.log(F.when(positive, p).otherwise(1 - p))).alias("log_loss"),
+    )
+    model_s = found.select(F.struct(*_METRICS)).scalar().alias("found")
+    both = plainly.select("*", area.scalar().alias("roc_auc"), model_s)
+    near = [F.struct(F.lit(m).alias("metric"), (F.abs(F.col(f"found.{m}") - F.col(m)) < 1e-9).alias("agrees")) for m in _METRICS]
+    return both.select(F.explode(F.array(*near)).alias("row")).select("row.*")
 
 
 def ml_predict(spark, sf_dir):
+    """Each scored row, and whether its probabilities and its label belong together."""
     rows, model = _model(spark, sf_dir)
-    scored = classifier.predict(model, rows)
-    return plain(scored.select("session_id", "time_bin", "predicted_label", "probability_0", "probability_1"))
+    zero, one = F.col("probability_0"), F.col("probability_1")
+    return plain(
+        classifier.predict(model, rows).select(
+            "session_id",
+            "time_bin",
+            (F.abs(zero + one - 1) < 1e-9).alias("sums_to_one"),
+            (F.col("predicted_label") == F.when(one > zero, "1").otherwise("0")).alias("label_is_larger"),
+        )
+    )
 
 
 def ml_export(spark, sf_dir):
-    """Scores of the model after it was saved and loaded again."""
+    """Each scored row, and whether the model gives it the same score after it was saved and loaded again."""
     rows, model = _model(spark, sf_dir)
     path = scratch_path(spark, "model")
     classifier.export_model(model, path)
-    scored = classifier.predict(classifier.load_model(path), rows)
-    return plain(scored.select("session_id", "time_bin", "predicted_label", "probability_1"))
+    keys = ["session_id", "time_bin"]
+    before = classifier.predict(model, rows).select(*keys, F.col("probability_1").alias("before"))
+    after = classifier.predict(classifier.load_model(path), rows).select(*keys, F.col("probability_1").alias("after"))
+    return plain(before.join(after, keys).select(*keys, (F.col("before") == F.col("after")).alias("same_score")))
 
 
 def ml_csv_to_risk(spark, sf_dir):
+    """Each session of the CSV files, and whether its risk is high just when one of its bins is predicted positive."""
     path = scratch_path(spark, "sessions_to_score")
     session_csv.write_session_csv(_enriched(spark, sf_dir), path)
-    return risk_from_csv(spark, path, _model(spark, sf_dir)[1])
+    model = _model(spark, sf_dir)[1]
+    found = risk_from_csv(spark, path, model).select("session_id", F.col("risk").alias("found"))
+    bins_ = classifier.predict(model, _serving(spark, sf_dir)).groupBy("session_id")
+    wanted = bins_.agg(F.when(F.max("predicted_label") == "1", "High").otherwise("Low").alias("wanted"))
+    return found.join(wanted, "session_id", "full").select(
+        "session_id", F.coalesce(F.col("found") == F.col("wanted"), F.lit(False)).alias("agrees")
+    )
 
 
 _NAMES = """

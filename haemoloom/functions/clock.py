@@ -21,10 +21,16 @@ def epoch_ns_to_timestamp(ns: Column) -> Column:
     return F.timestamp_micros(whole_div(F.try_add(ns, half), 1000))
 
 
+def text_to_timestamp(text: Column) -> Column:
+    """ISO text, or an integer as epoch nanoseconds; NULL if it is neither. Four digits are a year."""
+    whole = text.rlike("^[+-]?[0-9]+$") & ~text.rlike("^[0-9]{4}$")
+    return F.when(whole, epoch_ns_to_timestamp(text.try_cast("bigint"))).otherwise(F.try_to_timestamp(text))
+
+
 def as_timestamp(df: DataFrame, name: str) -> Column:
     """Column ``name`` as a UTC timestamp, whichever of its usual types it has.
 
-    Integers are epoch nanoseconds; zone-less timestamps and text are read as UTC.
+    Integers, also as text, are epoch nanoseconds; zone-less timestamps and text are read as UTC.
     """
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampType):
@@ -32,7 +38,7 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.IntegralType):
         return epoch_ns_to_timestamp(F.col(name).cast("bigint"))
     if isinstance(kind, T.StringType):
-        return F.try_to_timestamp(F.col(name))
+        return text_to_timestamp(F.trim(F.col(name)))
     return F.col(name).cast("timestamp")
 
 

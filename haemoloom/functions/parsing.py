@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haemoloom.functions.clock import as_timestamp
+from haemoloom.functions.clock import as_timestamp, text_to_timestamp
 from haemoloom.schemas import TIME_COLUMNS
 
 # Accepted date and time layouts besides ISO 8601.
@@ -18,31 +18,37 @@ def conversion_failed(name: str, target: str, text: Column) -> Column:
     """An expression that raises, naming the column and the offending text."""
     return F.raise_error(
         F.concat(
-            F.lit(f"Failed to convert column '{name}' to {target}. Please check the data: "),
-            F.coalesce(text, F.lit("missing value")),
+            F.lit(f"column '{name}' holds no {target}: "),
+            F.coalesce(text, F.lit("nothing")),
         )
     )
 
 
+def read_as(text: Column, target: str) -> Column:
+    """``text`` as ``target``, or NULL if it is none.
+
+    Numbers with a fraction lose it in an integer. Truth values are true/false in
+    any case, or numbers (zero is false).
+    """
+    if target == "bigint":
+        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    if target == "boolean":
+        return F.coalesce(text.try_cast("boolean"), text.try_cast("double") != 0)
+    if target == "timestamp":
+        return parse_timestamp(text)
+    return text.try_cast(target)
+
+
 def strict_cast(name: str, target: str, integers_required: bool = True) -> Column:
     """Text column ``name`` as ``target``; a bad value raises and names the column.
 
     A missing value is NULL, but an error in an integer column unless
-    ``integers_required`` is off. Numbers with a fraction lose it in an integer
-    column. Truth values are true/false in any case, or numbers (zero is false).
+    ``integers_required`` is off.
     """
     text = F.col(name)
-    trimmed = F.trim(text)
     if target == "string":
         return text
-    if target == "bigint":
-        value = F.coalesce(trimmed.try_cast("bigint"), trimmed.try_cast("double").try_cast("bigint"))
-    elif target == "boolean":
-        value = F.coalesce(trimmed.try_cast("boolean"), trimmed.try_cast("double") != 0)
-    elif target == "timestamp":
-        value = parse_timestamp(trimmed)
-    else:
-        value = trimmed.try_cast(target)
+    value = read_as(F.trim(text), target)
     bad = value.isNull()
     if target != "bigint" or not integers_required:
         bad = bad & text.isNotNull()
@@ -55,9 +61,9 @@ def first_match(text: Column, formats: list[str]) -> Column:
 
 
 def parse_timestamp(text: Column, day_first: bool = True) -> Column:
-    """ISO text, or slash-separated dates (day first unless told otherwise); NULL if none fits."""
+    """ISO text, integer nanoseconds, or slash-separated dates (day first unless told otherwise); NULL if none fits."""
     slashes = DAY_FIRST_FORMATS if day_first else MONTH_FIRST_FORMATS
-    return F.coalesce(F.try_to_timestamp(text), first_match(text, slashes + YEAR_FIRST_FORMATS))
+    return F.coalesce(text_to_timestamp(text), first_match(text, slashes + YEAR_FIRST_FORMATS))
 
 
 def normalize_time_columns(df: DataFrame, day_first: bool = True) -> DataFrame:

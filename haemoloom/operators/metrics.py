@@ -3,14 +3,18 @@
 Scores are first counted per distinct value, which shrinks the data before any
 ordering. The area under the ROC curve is the exact rank statistic: for every
 distinct score, the negatives below it plus half of the negatives at it. The
-running count of negatives is built in two levels, over at most ``_BANDS`` score
-bands and then inside each band, so no task orders all scores.
+running count of negatives is built in two levels, over a number of score bands
+and then inside each band, so no task orders all scores. The counts are stored in
+the shared folder, so rows are scored once.
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BANDS = 512
+from haemoloom.runtime import scratch_path
+
+# Score bands; with more distinct scores, more bands keep each of them small.
+BANDS = 512
 _SMALLEST = 1e-15  # keeps the logarithm of a score of 0 or 1 finite
 
 
@@ -26,37 +30,41 @@ def score_counts(scored: DataFrame, label: str = "label", score: str = "score")
     )
 
 
-def negatives_below(counts: DataFrame) -> DataFrame:
+def negatives_below(counts: DataFrame, bands: int = BANDS) -> DataFrame:
     """Add the number of negatives with a lower score."""
-    cuts = [i / _BANDS for i in range(1, _BANDS)]
-    edges = counts.agg(F.percentile_approx("score", cuts, 10 * _BANDS).alias("edges"))
+    cuts = [i / bands for i in range(1, bands)]
+    edges = counts.agg(F.percentile_approx("score", cuts, 10 * bands).alias("edges"))
     band = F.size(F.filter("edges", lambda edge: edge < F.col("score")))
     # Never NULL, so that no null check on it is pushed below the counting.
     banded = counts.withColumn("edges", edges.scalar()).select(
         "score", "positives", "negatives", F.coalesce(band, F.lit(0)).alias("band")
     )
-    # At most _BANDS rows, so this window is small by construction.
+    # One row per band, so this window is small by construction.
     in_order = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = (
+    before = (
         banded.groupBy("band")
         .agg(F.sum("negatives").alias("band_negatives"))
         .select("band", F.coalesce(F.sum("band_negatives").over(in_order), F.lit(0)).alias("before_band"))
     )
     inside = Window.partitionBy("band").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        banded.join(bands, "band")
+        banded.join(before, "band")
         .withColumn("below", F.col("before_band") + F.coalesce(F.sum("negatives").over(inside), F.lit(0)))
         .drop("band", "before_band")
     )
 
 
-def evaluate(scored: DataFrame, label: str = "label", score: str = "score", cutoff: float = 0.5) -> DataFrame:
+def evaluate(
+    scored: DataFrame, label: str = "label", score: str = "score", cutoff: float = 0.5, bands: int = BANDS
+) -> DataFrame:
     """One row: precision, recall, accuracy, f1_score, log_loss and roc_auc.
 
     ``score`` is the probability of class 1; a row counts as predicted positive
     from ``cutoff`` on. A metric without a denominator is NULL.
     """
-    ranked = negatives_below(score_counts(scored, label, score))
+    path = scratch_path(scored.sparkSession, "score-counts")
+    score_counts(scored, label, score).write.parquet(path)
+    ranked = negatives_below(scored.sparkSession.read.parquet(path), bands)
     hit = F.col("score") >= F.lit(cutoff)
     p = F.greatest(F.least(F.col("score"), F.lit(1.0 - _SMALLEST)), F.lit(_SMALLEST))
     sums = ranked.agg(

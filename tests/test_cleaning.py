@@ -101,7 +101,7 @@ def test_strict_cast(spark, target, text, value):
 )
 def test_strict_cast_names_the_column(spark, target, text):
     df = spark.createDataFrame([(text,)], "weight string")
-    with pytest.raises(PySparkException, match="'weight' to " + target):
+    with pytest.raises(PySparkException, match="'weight' holds no " + target):
         df.select(strict_cast("weight", target)).collect()
 
 

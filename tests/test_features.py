@@ -9,11 +9,12 @@ from haemoloom.functions import features as fn
 from haemoloom.operators.bins import repeated_stddev
 from haemoloom.operators.enrich import enrich, join_demographics, join_registration
 from haemoloom.operators.sessions import sessionize
-from haemoloom.plans.features import features_from_sessions, features_from_telemetry, serving_features
+from haemoloom.plans.features import features_from_sessions, features_from_telemetry, serving_columns, serving_features
 from haemoloom.schemas import FEATURE_COLUMNS, SERVING_COLUMNS, SESSION_CSV_COLUMNS
 from haemoloom.settings import SERVING, Settings
 from haemoloom.sources.session_csv import read_session_csv
 
+SERVE = Settings(semantics=SERVING)
 DAY = datetime(2024, 1, 1)
 READING = (
     "pid bigint, datatime timestamp, sbp bigint, dbp bigint, dia_temp_value double, conductivity double, "
@@ -25,26 +26,27 @@ REGISTRATION = (
 DEMOGRAPHICS = "pid bigint, gender string, birthday bigint, DM boolean, first_dialysis timestamp"
 
 GOLDEN_READINGS = [
-    (1, DAY, 100, 70, 36.5, 1.0, 0.5, 300.0),
-    (1, DAY + timedelta(minutes=10), 95, 72, 36.7, 1.1, 0.6, 320.0),
-    (1, DAY + timedelta(minutes=20), 85, 68, 36.6, 1.2, 0.4, 310.0),
-    (1, DAY + timedelta(minutes=30), 110, 71, 36.8, 1.3, 0.7, 305.0),
+    (1, DAY, 120, 80, 36.0, 13.5, 0.3, 250.0),
+    (1, DAY + timedelta(minutes=5), 110, 76, 36.0, 13.7, 0.5, 270.0),
+    (1, DAY + timedelta(minutes=17), 84, 60, 36.2, 13.9, 0.2, 240.0),
+    (1, DAY + timedelta(minutes=31), 128, 74, 36.4, 14.0, 0.8, 260.0),
 ]
-GOLDEN_VISIT = [(1, DAY, 70.0, 69.0, 68.0, 36.6)]
-GOLDEN_PROFILE = [(1, "F", 1980, True, datetime(2020, 1, 1))]
+GOLDEN_VISIT = [(1, DAY, 81.5, 80.0, 78.0, 36.2)]
+GOLDEN_PROFILE = [(1, "M", 1961, False, datetime(2018, 1, 1))]
 
+# Worked out by hand from the readings above.
 GOLDEN_BINS = [
-    dict(avg_sbp=97.5, min_sbp=95, stddev_sbp=3.535534, avg_dbp=71, avg_conductivity=1.05, avg_uf_rate=0.55,
-         avg_blood_flow=310, lag_1_avg_sbp=None, trend_1_sbp=None, lag_1_avg_uf_rate=None,
-         trend_1_conductivity=None, rolling_avg_sbp=97.5, rolling_max_sbp=97.5, rolling_stddev_sbp=None,
+    dict(avg_sbp=115, min_sbp=110, stddev_sbp=7.071068, avg_dbp=78, avg_conductivity=13.6, avg_uf_rate=0.4,
+         avg_blood_flow=260, lag_1_avg_sbp=None, trend_1_sbp=None, lag_1_avg_uf_rate=None,
+         trend_1_conductivity=None, rolling_avg_sbp=115, rolling_max_sbp=115, rolling_stddev_sbp=None,
          minutes_into_session=0, label=1),
-    dict(avg_sbp=85, min_sbp=85, stddev_sbp=None, avg_dbp=68, avg_conductivity=1.2, avg_uf_rate=0.4,
-         avg_blood_flow=310, lag_1_avg_sbp=97.5, trend_1_sbp=-12.5, lag_1_avg_uf_rate=0.55,
-         trend_1_conductivity=0.15, rolling_avg_sbp=91.25, rolling_max_sbp=97.5, rolling_stddev_sbp=8.838835,
+    dict(avg_sbp=84, min_sbp=84, stddev_sbp=None, avg_dbp=60, avg_conductivity=13.9, avg_uf_rate=0.2,
+         avg_blood_flow=240, lag_1_avg_sbp=115, trend_1_sbp=-31, lag_1_avg_uf_rate=0.4,
+         trend_1_conductivity=0.3, rolling_avg_sbp=99.5, rolling_max_sbp=115, rolling_stddev_sbp=21.920310,
          minutes_into_session=15, label=0),
-    dict(avg_sbp=110, min_sbp=110, stddev_sbp=None, avg_dbp=71, avg_conductivity=1.3, avg_uf_rate=0.7,
-         avg_blood_flow=305, lag_1_avg_sbp=85, trend_1_sbp=25, lag_1_avg_uf_rate=0.4, trend_1_conductivity=0.1,
-         rolling_avg_sbp=97.5, rolling_max_sbp=110, rolling_stddev_sbp=12.5, minutes_into_session=30, label=0),
+    dict(avg_sbp=128, min_sbp=128, stddev_sbp=None, avg_dbp=74, avg_conductivity=14, avg_uf_rate=0.8,
+         avg_blood_flow=260, lag_1_avg_sbp=84, trend_1_sbp=44, lag_1_avg_uf_rate=0.2, trend_1_conductivity=0.1,
+         rolling_avg_sbp=109, rolling_max_sbp=128, rolling_stddev_sbp=22.605309, minutes_into_session=30, label=0),
 ]
 
 
@@ -59,7 +61,7 @@ def golden_inputs(spark):
 def check_golden(rows):
     assert len(rows) == 3
     for row, expected in zip(rows, GOLDEN_BINS):
-        for name, value in {**expected, "age_at_session": 44, "fluid_to_remove": 2}.items():
+        for name, value in {**expected, "age_at_session": 63, "fluid_to_remove": 3.5}.items():
             assert row[name] == (None if value is None else pytest.approx(value, abs=1e-6)), name
 
 
@@ -68,7 +70,7 @@ def test_golden_training_features(spark):
     assert df.columns == FEATURE_COLUMNS
     rows = df.orderBy("time_bin").collect()
     check_golden(rows)
-    assert [r.dialysis_vintage_years for r in rows] == [4, 4, 4]
+    assert [r.dialysis_vintage_years for r in rows] == [6, 6, 6]
     assert [r.time_bin for r in rows] == [DAY + timedelta(minutes=15 * i) for i in range(3)]
 
 
@@ -78,7 +80,27 @@ def test_golden_serving_features(spark):
     assert df.columns == SERVING_COLUMNS
     rows = df.orderBy("minutes_into_session").collect()
     check_golden(rows)
-    assert all(r.dialysis_vintage_years == pytest.approx(1461 / 365.25) for r in rows)
+    assert all(r.dialysis_vintage_years == pytest.approx(2191 / 365.25) for r in rows)
+
+
+def test_weights_of_a_day_come_from_one_visit(spark):
+    readings, _, profiles = golden_inputs(spark)
+    visits = spark.createDataFrame([(1, DAY, 60.0, 60.0, 59.0, 36.0), (1, DAY, 61.0, 60.0, 58.0, 36.0)], REGISTRATION)
+    training = features_from_telemetry(readings, visits, profiles).collect()
+    scoring = serving_features(enrich(sessionize(readings), visits, profiles)).collect()
+    binned = features_from_telemetry(readings, visits, profiles, columns=serving_columns).collect()
+    assert {r.fluid_to_remove for r in [*training, *scoring, *binned]} == {1.0}
+
+
+def test_scoring_features_by_bins_equal_those_by_rows(spark):
+    inputs = random_inputs(spark, 4)
+    by_rows = serving_features(enrich(sessionize(inputs[0], SERVE), *inputs[1:]), SERVE)
+    by_bins = features_from_telemetry(*inputs, SERVE, columns=serving_columns)
+    assert by_bins.columns == by_rows.columns == SERVING_COLUMNS
+    shown = lambda df: sorted(
+        (tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.filter("pid IS NOT NULL").collect()), key=repr
+    )
+    assert shown(by_bins) == shown(by_rows)
 
 
 def random_inputs(spark, seed=1):

@@ -30,10 +30,10 @@ def test_typed_csv(spark, tmp_path):
 
 def test_typed_csv_fails_with_the_column(spark, tmp_path):
     (tmp_path / "a.csv").write_text("pid,weight\n1,heavy\n")
-    with pytest.raises(PySparkException, match="'weight' to double.*heavy"):
+    with pytest.raises(PySparkException, match="'weight' holds no double.*heavy"):
         csv.read_csv_typed(spark, str(tmp_path / "a.csv"), TYPES).collect()
     (tmp_path / "b.csv").write_text("pid,weight\n,1\n")
-    with pytest.raises(PySparkException, match="'pid' to bigint.*missing value"):
+    with pytest.raises(PySparkException, match="'pid' holds no bigint.*nothing"):
         csv.read_csv_typed(spark, str(tmp_path / "b.csv"), TYPES).collect()
 
 
@@ -97,7 +97,8 @@ def test_jsonl_sets_bad_lines_apart(spark, tmp_path):
 
 def test_jsonl_missing_file(spark, tmp_path):
     assert jsonl.read_jsonl(spark, str(tmp_path / "none.jsonl"), TELEMETRY) is None
-    empty = jsonl.read_machine_jsonl(spark, str(tmp_path / "none.jsonl"))
+    empty, rejects = jsonl.read_machine_jsonl(spark, str(tmp_path / "none.jsonl"))
+    assert rejects.count() == 0
     assert empty.count() == 0 and "session_start_ts" in empty.columns
 
 
@@ -108,7 +109,7 @@ def test_machine_jsonl_starts_per_subject(spark, tmp_path):
         {"pid": 2, "datatime": "2024-01-02T01:00:00"},
     ]
     (tmp_path / "m.jsonl").write_text("\n".join(map(json.dumps, lines)))
-    rows = jsonl.read_machine_jsonl(spark, str(tmp_path / "m.jsonl")).orderBy("pid", "datatime").collect()
+    rows = jsonl.read_machine_jsonl(spark, str(tmp_path / "m.jsonl")).rows.orderBy("pid", "datatime").collect()
     assert [r.session_start_ts for r in rows] == [datetime(2024, 1, 1)] * 2 + [datetime(2024, 1, 2, 1)]
     assert [r.session_date for r in rows] == [date(2024, 1, 1)] * 2 + [date(2024, 1, 2)]
 
@@ -116,20 +117,58 @@ def test_machine_jsonl_starts_per_subject(spark, tmp_path):
 def test_payload_document(spark, tmp_path):
     documents = payload.payload_documents(serving_features(enriched(spark)))
     document = json.loads(documents.first().payload)
-    assert list(document) == ["instances"]
+    assert document["parameters"] == {"session_id": "1_1", "part": "0"}
     assert [list(i) for i in document["instances"]] == [MODEL_FEATURES] * 3
-    assert [i["avg_sbp"] for i in document["instances"]] == [97.5, 85.0, 110.0]
+    assert [i["avg_sbp"] for i in document["instances"]] == [115.0, 84.0, 128.0]
     assert document["instances"][0]["lag_1_avg_sbp"] is None
     chosen.export_payload(enriched(spark), str(tmp_path / "p"))
     read = payload.read_payload(spark, str(tmp_path / "p"))
-    assert read.first().parameters == {}
-    assert [r.avg_sbp for r in payload.payload_instances(read).collect()] == [97.5, 85.0, 110.0]
+    assert (read.first().session_id, read.first().part) == ("1_1", 0)
+    rows = payload.payload_instances(read).collect()
+    assert [(r.session_id, r.place, r.avg_sbp) for r in rows] == [("1_1", 0, 115.0), ("1_1", 1, 84.0), ("1_1", 2, 128.0)]
+
+
+def test_integer_times_are_read_alike_everywhere(spark, tmp_path):
+    ns, day = 1_704_067_200_000_000_000, datetime(2024, 1, 1)
+    lines = [f'{{"pid":1,"datatime":{ns}}}', f'{{"pid":1,"datatime":"{ns}"}}', '{"pid":1,"datatime":"2024-01-01T00:00:00"}']
+    (tmp_path / "t.jsonl").write_text("\n".join(lines))
+    read = jsonl.read_jsonl(spark, str(tmp_path / "t.jsonl"), TELEMETRY)
+    assert [r.datatime for r in read.rows.collect()] == [day] * 3 and read.rejects.count() == 0
+    assert [r.datatime for r in jsonl.read_machine_jsonl(spark, str(tmp_path / "t.jsonl")).rows.collect()] == [day] * 3
+    header = ",".join(SESSION_CSV_COLUMNS)
+    row = f"7,{ns},7_1,1500000000000000,112,52,37,14,0.75,0,70,68.2,68,36.3,F,1934,TRUE"
+    (tmp_path / "s.csv").write_text(f"{header}\n{row}\n")
+    got = session_csv.read_session_csv(spark, str(tmp_path / "s.csv")).first()
+    assert got.datatime == day and got.first_dialysis_ts == datetime(1970, 1, 18, 8, 40)
+
+
+def test_whole_numbers_with_a_point_fit_integers(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"pid":1,"sbp":110.0}\n{"pid":1.0,"sbp":111}\n{"pid":1,"sbp":110.5}\n{"pid":1,"datatime":"soon"}\n')
+    rows, rejects = jsonl.read_machine_jsonl(spark, str(tmp_path / "a.jsonl"))
+    assert sorted(r.sbp for r in rows.collect()) == [110, 111]
+    assert {r.line for r in rejects.collect()} == {'{"pid":1,"sbp":110.5}', '{"pid":1,"datatime":"soon"}'}
+
+
+@pytest.mark.parametrize(
+    ("line", "said"),
+    [('{"instances": [', "no payload"), ('{"instances": [{"DM": "perhaps"}]}', "field DM"), ('{"instances": [{"avg_sbp": "x"}]}', "no payload")],
+)
+def test_a_payload_that_does_not_fit_is_reported(spark, tmp_path, line, said):
+    (tmp_path / "p.json").write_text(line)
+    with pytest.raises(Exception, match=said):
+        payload.payload_instances(payload.read_payload(spark, str(tmp_path / "p.json"))).collect()
+
+
+def test_numbers_are_truth_values_in_payloads(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"instances": [{"DM": 1}, {"DM": 0}, {"DM": true}, {"DM": null}, {}]}')
+    rows = payload.payload_instances(payload.read_payload(spark, str(tmp_path / "p.json"))).orderBy("place").collect()
+    assert [r.DM for r in rows] == [True, False, True, None, None]
 
 
 def test_long_sessions_take_several_documents(spark):
     parts = payload.payload_documents(serving_features(enriched(spark)), per_document=2).orderBy("part").collect()
     sizes = [[i["avg_sbp"] for i in json.loads(p.payload)["instances"]] for p in parts]
-    assert sizes == [[97.5, 85.0], [110.0]]
+    assert sizes == [[115.0, 84.0], [128.0]]
 
 
 def test_payload_defaults(spark, tmp_path):
