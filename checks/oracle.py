@@ -410,11 +410,15 @@ def oracle_sql() -> dict[str, str]:
             """SELECT t.pid, t.datatime, d.first_dialysis_ts AS first_dialysis
             FROM telemetry t JOIN demographics d ON t.pid = d.pid"""
         ),
-        "fn_date_format": _inputs("SELECT pid, strftime(keyindate, '%Y-%m-%d') AS day FROM registration"),
+        "fn_date_format": _inputs(f"SELECT pid, strftime(keyindate, '%Y-%m-%d') AS day, {_CLOCK_START.replace('AS dialysisstart', 'AS start')} FROM registration"
+        ),
         "fn_starts_with": _inputs(
             "SELECT pid, dialysisend, starts_with(dialysisend, '24:') AS after_midnight FROM registration"
         ),
-        "fn_substr": _inputs("SELECT pid, dialysisend, substr(dialysisend, 4) AS minutes FROM registration"),
+        "fn_substr": _inputs(
+            """SELECT pid, dialysisend, CASE WHEN dialysisend <> 'unknown' THEN date_trunc('day', keyindate) + INTERVAL 1 DAY
+            + to_minutes(CAST(substr(dialysisend, 4) AS INTEGER)) END AS minutes FROM registration"""
+        ),
         "fn_add_day": _inputs("SELECT pid, CAST(CAST(keyindate AS DATE) + 1 AS VARCHAR) AS next_day FROM registration"),
         "fn_tz_align": _sessions(
             """SELECT m.pid, m.datatime,

@@ -295,13 +295,8 @@ def prj_passthrough(spark, sf_dir):
 
 
 def prj_features_final(spark, sf_dir):
-    joined = enrich.join_visits(
-        temporal.add_temporal_features(_bins(spark, sf_dir)), registration(spark, sf_dir), demographics(spark, sf_dir)
-    )
-    spread = bins.repeated_stddev(F.col("stddev_sbp"), F.col("sbp_readings"), F.col("copies"))
-    return plain(
-        features.training_columns(features.add_static_features(joined.withColumn("stddev_sbp", spread)))
-    )
+    inputs = _placed(spark, sf_dir), registration(spark, sf_dir), demographics(spark, sf_dir)
+    return plain(features.features_from_sessions(*inputs))
 
 
 def prj_rename(spark, sf_dir):
@@ -313,12 +308,19 @@ def prj_model_inputs(spark, sf_dir):
     return plain(classifier.model_inputs(_features(spark, sf_dir)))
 
 
+def _sessionized_table(spark, sf_dir):
+    """A stored sessionized table, so that filters reach its scan."""
+    return tables.create_sessionized_table(
+        telemetry(spark, sf_dir), _table_name("sessions_to_choose"), path=scratch_path(spark, "sessionized")
+    )
+
+
 def flt_session(spark, sf_dir):
-    return plain(sessions.session_readings(_sessionized(spark, sf_dir), _SESSION))
+    return plain(sessions.session_readings(_sessionized_table(spark, sf_dir), _SESSION))
 
 
 def flt_session_bulk(spark, sf_dir):
-    rows = _sessionized(spark, sf_dir)
+    rows = _sessionized_table(spark, sf_dir)
     wanted = rows.groupBy("session_id").agg(F.min("sbp").alias("lowest")).filter(F.col("lowest") < 65)
     return plain(sessions.readings_of_sessions(rows, wanted))
 
@@ -371,8 +373,7 @@ _BIN_KEY = ["pid", "session_id", "time_bin"]
 
 
 def agg_time_bins(spark, sf_dir):
-    placed = _placed(spark, sf_dir).withColumn("time_bin", clock.time_bin(F.col("datatime"), _DEFAULT.interval))
-    return plain(placed.groupBy(*_BIN_KEY).agg(F.count(F.lit(1)).alias("readings")))
+    return plain(_bins(spark, sf_dir).select(*_BIN_KEY, F.col("sbp_readings").alias("readings")))
 
 
 def agg_avg(spark, sf_dir):
@@ -473,16 +474,17 @@ def fn_cast(spark, sf_dir):
     return plain(
         table(spark, sf_dir, "events").select(
             "event_id",
-            F.col("user_id").cast("string").alias("pid_text"),
-            F.round("value").cast("bigint").alias("whole"),
-            F.col("event_type").try_cast("bigint").alias("not_a_number"),
-            F.col("ts").cast("date").alias("day"),
+            parsing.read_as(F.col("user_id").cast("string"), "string").alias("pid_text"),
+            parsing.read_as(F.round("value").cast("string"), "bigint").alias("whole"),
+            parsing.read_as(F.col("event_type"), "bigint").alias("not_a_number"),
+            parsing.read_as(F.col("ts").cast("string"), "timestamp").cast("date").alias("day"),
         )
     )
 
 
 def fn_date(spark, sf_dir):
-    return plain(table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day")))
+    rows = table(spark, sf_dir, "events")
+    return plain(rows.select("event_id", F.to_date(clock.as_timestamp(rows, "ts")).alias("day")))
 
 
 def fn_time_bin(spark, sf_dir):
@@ -587,21 +589,25 @@ def norm_time_columns(spark, sf_dir):
 
 
 def fn_date_format(spark, sf_dir):
-    return registration(spark, sf_dir).select("pid", F.date_format("keyindate", "yyyy-MM-dd").alias("day"))
+    start = cleaning.visit_time(F.col("keyindate"), F.col("dialysisstart"))
+    return plain(registration(spark, sf_dir).select("pid", F.date_format("keyindate", "yyyy-MM-dd").alias("day"), start.alias("start")))
 
 
 def fn_starts_with(spark, sf_dir):
-    late = F.startswith("dialysisend", F.lit("24:"))
-    return registration(spark, sf_dir).select("pid", "dialysisend", late.alias("after_midnight"))
+    """A cleaned end on the next day is one whose text starts with hour 24."""
+    rows = cleaning.clean_registration(registration(spark, sf_dir).withColumn("as_text", F.col("dialysisend")))
+    late = F.coalesce(F.to_date("dialysisend") > F.to_date("keyindate"), F.lit(False))
+    return rows.select("pid", F.col("as_text").alias("dialysisend"), late.alias("after_midnight"))
 
 
 def fn_substr(spark, sf_dir):
-    rest = F.substring("dialysisend", 4, 16)
-    return registration(spark, sf_dir).select("pid", "dialysisend", rest.alias("minutes"))
+    late = cleaning.next_day_clock(F.col("keyindate"), F.col("dialysisend"))
+    return plain(registration(spark, sf_dir).select("pid", "dialysisend", late.alias("minutes")))
 
 
 def fn_add_day(spark, sf_dir):
-    return plain(registration(spark, sf_dir).select("pid", F.date_add("keyindate", 1).alias("next_day")))
+    midnight = cleaning.next_day_clock(F.col("keyindate"), F.lit("24:00"))
+    return plain(registration(spark, sf_dir).select("pid", F.to_date(midnight).alias("next_day")))
 
 
 def fn_tz_align(spark, sf_dir):

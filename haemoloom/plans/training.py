@@ -11,6 +11,7 @@ from haemoloom.runtime import use_utc
 from haemoloom.settings import Settings
 
 
+# The published default names of the tables.
 class TableNames(NamedTuple):
     telemetry: str = "real_time_machine_data"
     registration: str = "registration_data"

@@ -24,6 +24,7 @@ class Settings:
     ==================  ==============================  =========================
     """
 
+    # The defaults of the published parameters.
     session_window: int = 12  # hours
     interval: int = 15  # minutes per bin
     rolling_window: int = 3  # bins before the current one

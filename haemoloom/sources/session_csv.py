@@ -33,6 +33,8 @@ def write_session_csv(sessions: DataFrame, path: str, file_per_session: bool = F
         # Rebalancing gathers small sessions and splits large ones.
         rows = rows.withColumn("session", F.col("session_id")).hint("rebalance", "session")
         folders = ["session"]
+    # Inside each file, readings are in time order.
+    rows = rows.sortWithinPartitions(*folders, "session_id", "datatime")
     rows.write.mode("overwrite").option("header", True).option("timestampFormat", _TIME_LAYOUT).partitionBy(
         *folders
     ).csv(path)
