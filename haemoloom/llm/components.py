@@ -12,8 +12,11 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least.select("node", F.least("node", "other").alias("least")), "node")
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.union(edges.select(F.col("other"), F.col("node"))).distinct()
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one other, and no other is a node itself."""
+    sides = [F.struct(F.col(c).alias("end"), F.lit(up).alias("up")) for c, up in (("node", 1), ("other", 0))]
+    ends = edges.select(F.explode(F.array(*sides)).alias("side")).select("side.*").groupBy("end").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return ends.filter((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("least") == 0))).isEmpty()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -22,20 +25,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     Each round only regroups links, so their number never grows, and it halves the
     depth of the trees; links stay distributed and each round is stored.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).filter("node != other").distinct(), "links")
-    state = None
+    edges = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).filter("node != other")
     while True:
         # Large star: the larger others of a node move to the least node it knows.
-        large = _with_least(_both_ways(edges)).filter("other > node").select(F.col("other").alias("node"), F.col("least").alias("other"))
+        both = edges.union(edges.select(F.col("other"), F.col("node")))
+        large = _with_least(both).filter("other > node").select(F.col("other").alias("node"), F.col("least").alias("other"))
         # Small star: a node and its smaller others move to the least of them.
-        small = _with_least(large.filter("node > other").distinct())
-        moved = small.select(F.col("other").alias("node"), F.col("least").alias("other")).union(
-            small.select("node", F.col("least").alias("other"))
-        )
+        small = _with_least(large.filter("node > other"))
+        moved = small.select(F.explode(F.array("node", "other")).alias("node"), F.col("least").alias("other"))
         edges = stored(moved.filter("node != other").distinct(), "links")
-        found = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))).first()
-        if found == state:
+        if _are_stars(edges):
             break
-        state = found
     roots = edges.select(F.col("other").alias("node")).distinct()
     return edges.select("node", F.col("other").alias("root")).union(roots.select("node", F.col("node").alias("root")))

@@ -31,10 +31,11 @@ LEAST_DEPTH = 3
 
 #: Followers in a tree's order that a document is compared with. It is also compared
 #: with the first document of each prefix it shares.
-FOLLOWERS = 12
+FOLLOWERS = 6
 
 #: Documents of a component that stand for all of it, for documents beside it.
 HUBS = 32
+FEW = 10
 
 #: Slots in a hundred that must agree before full sets are compared: four standard
 #: deviations below the threshold.
@@ -189,6 +190,8 @@ def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stored(wanted.join(classes.select("node", "first.*"), "node").select("node", F.col("doc_id").alias("id"), "h1", "h2"), "near-wanted")
+    # A merge join at every size, because what is wanted grows with the documents.
+    wanted = wanted.hint("merge")
     rows = docs.join(wanted, (docs["h1"] == wanted["h1"]) & (docs["h2"] == wanted["h2"]) & docs["doc_id"].eqNullSafe(wanted["id"]))
     return stored(rows.select("node", "text").mapInArrow(make, "node long, names binary"), "near-sets")
 
@@ -234,17 +237,42 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return signed.select("a", "b", "one", "two").mapInArrow(compare, "a long, b long")
 
 
-def _hub_pairs(pairs: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
-    """Each document beside a component that it is not in, with the hubs of that component.
+def _both_ends(pairs: DataFrame) -> DataFrame:
+    """``pairs`` once for each end, which is called ``node``."""
+    return pairs.select(F.col("a").alias("node"), "*").union(pairs.select(F.col("b").alias("node"), "*"))
 
-    The hubs have the most links: copies that were changed least, which are the
-    most similar to all others. A large group is searched so without its pairs.
+
+def _centrality(pairs: DataFrame) -> DataFrame:
+    """``node`` and ``score``, its mean agreement with its candidates.
+
+    Copies that were changed least agree most with all others. Means of few
+    candidates are drawn towards the least.
+    """
+    score = (F.sum("agreement") + FEW * LEAST_AGREEMENT) / (F.count("*") + FEW)
+    return stored(_both_ends(pairs).groupBy("node").agg(score.alias("score")), "near-scores")
+
+
+def _first_pairs(pairs: DataFrame, scores: DataFrame) -> DataFrame:
+    """Each node with the candidate that it agrees with most, and with its most central one."""
+    side = lambda end: scores.select(F.col("node").alias(end), F.col("score").alias(f"score_{end}"))
+    scored = pairs.join(side("a"), "a").join(side("b"), "b")
+    ends = _both_ends(scored).withColumn("score", F.when(F.col("node") == F.col("a"), F.col("score_b")).otherwise(F.col("score_a")))
+    pair = F.struct("a", "b")
+    best = ends.groupBy("node").agg(
+        F.max_by(pair, F.struct("agreement", "a", "b")).alias("closest"), F.max_by(pair, F.struct("score", "a", "b")).alias("central")
+    )
+    return best.select(F.explode(F.array("closest", "central")).alias("pair")).select("pair.*").distinct()
+
+
+def _hub_pairs(apart: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
+    """Each document with candidates in another component, and the hubs of that component.
+
+    The hubs are its most central documents, so a large group is searched without
+    its pairs.
     """
-    beside = _apart(pairs, roots)
-    beside = beside.select(F.col("a").alias("one"), F.col("root_b").alias("root")).union(beside.select("b", "root_a")).distinct()
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
-    order = Window.partitionBy("root").orderBy(F.desc("degree"), "node")
-    hubs = ends.join(roots, "node").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
+    beside = apart.select(F.col("a").alias("one"), F.col("root_b").alias("root")).union(apart.select("b", "root_a")).distinct()
+    order = Window.partitionBy("root").orderBy(F.desc("score"), "node")
+    hubs = scores.join(roots, "node").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
     both = beside.join(hubs.select("root", F.col("node").alias("two")), "root")
     return both.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
 
@@ -252,18 +280,17 @@ def _hub_pairs(pairs: DataFrame, links: DataFrame, roots: DataFrame) -> DataFram
 def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """``node`` and ``root`` of all linked nodes.
 
-    First each node's best candidate is confirmed, then the candidates that are
-    not yet in one component, and last the hubs of components beside a document.
+    First each node's closest and most central candidates are confirmed. Then the
+    candidates that are not in one component by that are, and the hubs of the
+    components beside a document.
     """
-    ends = pairs.select(F.col("a").alias("node"), "a", "b", "agreement").union(pairs.select("b", "a", "b", "agreement"))
-    best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("agreement", "a", "b")).alias("pair"))
-    links = stored(_confirmed(best.select("pair.*").distinct(), sets), "near-links")
-    roots = stored(connected_components(links), "near-roots")
-    second = _apart(pairs, roots).select("a", "b").join(links, ["a", "b"], "left_anti")
-    links = links.union(stored(_confirmed(second, sets), "near-links"))
+    scores = _centrality(pairs)
+    links = stored(_confirmed(_first_pairs(pairs, scores), sets), "near-links")
     roots = stored(connected_components(links), "near-roots")
-    third = _agreeing(_hub_pairs(pairs, links, roots).join(pairs, ["a", "b"], "left_anti"), classes)
-    return connected_components(links.union(stored(_confirmed(third, sets), "near-links")))
+    apart = stored(_apart(pairs, roots), "near-apart")
+    hubs = _agreeing(_hub_pairs(apart, scores, roots), classes)
+    more = stored(_confirmed(apart.select("a", "b").union(hubs).distinct(), sets), "near-links")
+    return connected_components(links.union(more))
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
