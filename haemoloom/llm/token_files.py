@@ -80,13 +80,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens`` and ``ids``; ``start`` counts the ids of all documents before.
 
     Starts come from the metadata columns: one sum per written partition, so the
-    running sum over them has as many rows as there are files.
+    running sum over them has as many rows as there are files. That number, which
+    the writer is told, bounds what is broadcast; ids are not shuffled.
     """
     files = spark.read.schema(_SCHEMA).parquet(path)
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sums.select("part", before.alias("before"))
-    return files.join(offsets, "part").select(
+    return files.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "ids"
     )
 
