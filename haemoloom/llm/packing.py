@@ -68,11 +68,12 @@ def pack(
         F.col(id_col).cast("long").alias("doc_id"), F.spark_partition_id().alias("part"), text_or_empty(text_col).alias("text")
     )
     pieces = stored(rows.mapInArrow(_pieces(vocabulary, end_id, sequence_tokens), _SCHEMA), "pieces")
-    # One count per bucket and task, so the running sum has a dozen rows per task.
+    # One count per bucket and task, so the running sum and what is broadcast have a
+    # dozen rows per task; ids are not shuffled.
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     order = Window.orderBy(F.desc("length"), "part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    return pieces.join(firsts, ["length", "part"]).select(
+    return pieces.join(F.broadcast(firsts), ["length", "part"]).select(
         "doc_id",
         "start",
         "length",
