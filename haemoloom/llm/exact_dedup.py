@@ -134,7 +134,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     named = stored(name_documents(docs, id_col, text_col, **options), "exact-named")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "row")
+    # Stored, so that the join meets one row per group and can split a hot one.
     groups = named.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
+    groups = stored(groups, "exact-groups")
     return named.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("first.id").alias("keep_id"),
