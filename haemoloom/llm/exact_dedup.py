@@ -99,13 +99,13 @@ def name_documents(
     block_bytes: int = BLOCK_BYTES,
     print_of: Callable[[Column], Column] = block_print,
     carry: bool = False,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """Each row of ``docs`` with its identity: ``row``, ``doc_id``, ``text_sha256``, ``level``, ``name``.
 
     Contents of blocks are shuffled once, without repeats; documents carry the
     prints of their blocks. If two contents share a print, which 128 bits make all
-    but impossible, blocks are named by print and content instead. ``carry`` keeps
-    the whole input row in the struct ``doc``. NULL texts count as empty; an empty
+    but impossible, blocks are named by print and content instead. With ``carry``, the
+    second result has each ``row`` with its whole input row in ``doc``. NULL texts count as empty; an empty
     text is one empty block.
     """
     base = _base(docs, id_col, text_col, block_bytes, print_of, carry, False)
@@ -121,7 +121,8 @@ def name_documents(
         keys = base.select(F.explode("prints").alias("place")).select("place.print.h1", "place.print.h2", "place.block").distinct()
         key = F.struct(F.col("place.print.h1").alias("h1"), F.col("place.print.h2").alias("h2"), F.col("place.block").alias("block"))
         identities = _identities(base, keys, key, ["h1", "h2", "block"])
-    return base.drop("prints").join(identities, "row")
+    named = base.drop("prints", "doc").join(identities, "row")
+    return named, base.select("row", "doc") if carry else None
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -132,21 +133,26 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     all others, and of rows with equal text and id the first read stays. Other
     columns are not looked at. An empty table gives an empty result.
     """
-    named = stored(name_documents(docs, id_col, text_col, **options), "exact-named")
+    return _judged(name_documents(docs, id_col, text_col, **options)[0]).drop("row")
+
+
+def _judged(named: DataFrame) -> DataFrame:
+    named = stored(named, "exact-named")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "row")
     # Stored, so that the join meets one row per group and can split a hot one.
     groups = named.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
     groups = stored(groups, "exact-groups")
     return named.join(groups, ["level", "name"]).select(
+        "row",
         "doc_id",
         F.col("first.id").alias("keep_id"),
         "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
         "text_sha256",
-        *[c for c in ("doc",) if c in named.columns],
     )
 
 
 def without_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    return exact_duplicates(docs, id_col, text_col, carry=True).filter("kept").select("doc.*")
+    named, whole = name_documents(docs, id_col, text_col, carry=True)
+    return whole.join(_judged(named).filter("kept").select("row"), "row").select("doc.*")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haemoloom.llm.common import SPACE, byte_texts, stored
+from haemoloom.llm.common import SPACE, byte_texts, stored, text_keys, text_or_empty
 
 #: A line is boilerplate in a host if more distinct documents than both hold it.
 LEAST_DOCUMENTS = 20
@@ -35,7 +35,7 @@ _SEED = 42
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
 _SCHEMA = (
-    "row long, doc_id long, host string, p1 long, p2 long, "
+    "row long, doc_id long, host string, h1 long, h2 long, "
     + ", ".join(f"{c} long" for c in _COUNTS)
     + ", lines array<struct<line: long, words: long>>"
 )
@@ -93,28 +93,24 @@ def _measured(text: bytes) -> tuple[list[int], list[dict]]:
 
 def _measure(batches):
     for batch in batches:
-        whole = byte_texts(batch.column(3))
-        found = [_measured(t) for t in whole]
-        prints = [xxhash.xxh3_128_intdigest(t) for t in whole]
-        columns = [batch.column(0), batch.column(1), batch.column(2)]
-        columns += [pa.array([_signed(p >> 64) for p in prints], pa.int64())]
-        columns += [pa.array([_signed(p & (1 << 64) - 1) for p in prints], pa.int64())]
+        found = [_measured(t) for t in byte_texts(batch.column(5))]
+        columns = [batch.column(i) for i in range(5)]
         columns += [pa.array([counts[i] for counts, _ in found], pa.int64()) for i in range(len(_COUNTS))]
         columns += [pa.array([lines for _, lines in found], _LINES)]
-        yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "host", "p1", "p2", *_COUNTS, "lines"])
+        yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "host", "h1", "h2", *_COUNTS, "lines"])
 
 
 def frequent_lines(measured: DataFrame, least_documents: int, host_share: float) -> DataFrame:
     """``host`` and ``line`` of the boilerplate. Copies of a text are one document."""
-    places = measured.select("host", "p1", "p2", F.explode("lines.line").alias("line"))
+    places = measured.select("host", "h1", "h2", F.explode("lines.line").alias("line"))
     counts = places.distinct().groupBy("host", "line").agg(F.count("*").alias("documents"))
     counts = counts.filter(F.col("documents") > least_documents)
-    hosts = measured.select("host", "p1", "p2").distinct().groupBy("host").agg(F.count("*").alias("of_host"))
+    hosts = measured.select("host", "h1", "h2").distinct().groupBy("host").agg(F.count("*").alias("of_host"))
     return counts.join(hosts, "host").filter(F.col("documents") > host_share * F.col("of_host")).select("host", "line")
 
 
 def _judged(rows: DataFrame, least_documents: int, host_share: float, least_left: int) -> DataFrame:
-    """Counts and verdict of each of ``rows`` (row, doc_id, host, text); ``removed`` lists its boilerplate."""
+    """Counts and verdict of each of ``rows`` (row, doc_id, host, h1, h2, text); ``removed`` lists its boilerplate."""
     measured = stored(rows.mapInArrow(_measure, _SCHEMA), "lines")
     places = measured.select("row", "host", F.explode("lines").alias("held")).select("row", "host", "held.*")
     removed = (
@@ -124,14 +120,25 @@ def _judged(rows: DataFrame, least_documents: int, host_share: float, least_left
     )
     n, gone = F.col("n_words"), F.coalesce(F.col("removed_words"), F.lit(0))
     failed = (n < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * n)
-    return measured.drop("lines", "host", "p1", "p2").join(removed, "row", "left").select(
-        "row", "doc_id", *_COUNTS,
+    return measured.drop("lines").join(removed, "row", "left").select(
+        "doc_id", "host", "h1", "h2", *_COUNTS,
         failed.alias("base_failed"),
         (~failed & (100 * (n - gone) >= least_left * n)).alias("kept"),
         "removed",
     )
 
 
+def _keys(id_col: str, text_col: str, host_col: str) -> list[Column]:
+    """What a document is judged by: rows that share these keys share the verdict."""
+    host = F.coalesce(F.col(host_col), F.lit("")).alias("host")
+    return [F.col(id_col).cast("long").alias("doc_id"), host, *text_keys(text_or_empty(text_col))]
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    keys = _keys(id_col, text_col, host_col)
+    return docs.select(F.monotonically_increasing_id().alias("row"), *keys, F.col(text_col).alias("text"))
+
+
 def judge_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -148,13 +155,8 @@ def judge_lines(
     are kept as they are. Other columns are not looked at. An empty table gives an
     empty result.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(host_col), F.lit("")).alias("host"),
-        F.col(text_col).alias("text"),
-    )
-    return _judged(rows, least_documents, host_share, least_left).drop("row", "removed")
+    rows = _rows(docs, id_col, text_col, host_col)
+    return _judged(rows, least_documents, host_share, least_left).drop("host", "h1", "h2", "removed")
 
 
 def _normal(line: Column) -> Column:
@@ -171,20 +173,17 @@ def clean_documents(
     least_left: int = LEAST_LEFT,
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns and without boilerplate lines in their texts."""
-    whole = stored(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(c) for c in docs.columns]).alias("doc")),
-        "lines-documents",
-    )
-    rows = whole.select(
-        "row",
-        F.col("doc")[id_col].cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc")[host_col], F.lit("")).alias("host"),
-        F.col("doc")[text_col].alias("text"),
-    )
-    verdicts = _judged(rows, least_documents, host_share, least_left).filter("kept").select("row", "removed")
+    rows = _rows(docs, id_col, text_col, host_col)
+    verdicts = _judged(rows, least_documents, host_share, least_left).filter("kept")
+    names = ["host", "h1", "h2"]
+    verdicts = verdicts.select(F.col("doc_id").alias("id"), *names, "removed").dropDuplicates(["id", *names])
+    keyed = docs.select(*_keys(id_col, text_col, host_col), F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
     held = F.filter(
         F.split(F.col("doc")[text_col], "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(_normal(x)))
     )
     text = F.when(F.col("removed").isNull(), F.col("doc")[text_col]).otherwise(F.array_join(held, "\n"))
     columns = [text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns]
-    return whole.join(verdicts, "row").select(*columns)
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    for name in names:
+        same = same & (keyed[name] == verdicts[name])
+    return keyed.join(verdicts, same).select(*columns)

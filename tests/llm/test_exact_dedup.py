@@ -40,7 +40,7 @@ def test_blocks_that_share_a_print_are_told_apart(spark):
 
 def test_texts_that_differ_in_one_late_block_have_different_names(spark):
     rows = [(i, "ab" * 500 + tail, None, None, None) for i, tail in enumerate(["", "a", "b", "ab", "a", ""])]
-    named = name_documents(documents(spark, rows), block_bytes=16).select("doc_id", "level", "name").collect()
+    named = name_documents(documents(spark, rows), block_bytes=16)[0].select("doc_id", "level", "name").collect()
     names = {r.doc_id: (r.level, r.name) for r in named}
     assert names[0] == names[5] and names[1] == names[4]
     assert len(set(names.values())) == 4
