@@ -5,7 +5,8 @@ Each tree of the forest sorts the representatives by a MinHash signature of its
 own; neighbours in that order share the longest prefixes, so they are the
 candidates. Where few documents share a prefix a short one is enough, where many
 do the order brings those with longer ones together. Candidates are confirmed on
-the full sets.
+the full sets. Where more documents share a prefix than are compared, all those that
+are not yet in one component are compared on the full sets, block by block.
 """
 
 import numpy as np
@@ -37,6 +38,12 @@ FOLLOWERS = 6
 HUBS = 32
 FEW = 10
 
+#: Documents of a crowd that are compared with as many others in one task.
+BLOCK = 256
+
+#: Shingles that are counted at a time when blocks are compared.
+COUNTED_TOGETHER = 8192
+
 #: Slots in a hundred that must agree before full sets are compared: four standard
 #: deviations below the threshold.
 LEAST_AGREEMENT = 0.62
@@ -155,27 +162,33 @@ def _representatives(signed: DataFrame) -> DataFrame:
     return stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
 
-def _forest_pairs(classes: DataFrame) -> DataFrame:
-    """``a``, ``b`` and ``agreement`` of all candidates, stored."""
-    spark = classes.sparkSession
+def _places(classes: DataFrame) -> DataFrame:
+    """``node`` and ``tree`` where a prefix is shared, stored; ``crowd`` is the prefix if more share it than are compared."""
     tree_bytes = DEPTH * _SLOT_BYTES
     prefixes = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.substring(F.col("signature"), t * tree_bytes + 1, F.lit(LEAST_DEPTH * _SLOT_BYTES)),
     )
     places = classes.select("node", F.posexplode(prefixes).alias("tree", "prefix"))
-    shared = places.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    crowded = stored(places.join(shared, ["tree", "prefix"]).select("node", "tree"), "near-places")
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), crowded.count() // SORTED_TOGETHER))
+    shared = places.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    crowd = F.when(F.col("n") > FOLLOWERS + 1, F.col("prefix")).alias("crowd")
+    return stored(places.join(shared, ["tree", "prefix"]).select("node", "tree", crowd), "near-places")
+
+
+def _forest_pairs(classes: DataFrame, places: DataFrame) -> DataFrame:
+    """``a``, ``b`` and ``agreement`` of all candidates, stored."""
+    spark = classes.sparkSession
+    tree_bytes = DEPTH * _SLOT_BYTES
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), places.count() // SORTED_TOGETHER))
     key = F.substring(F.col("signature"), F.col("tree") * tree_bytes + 1, F.lit(tree_bytes))
-    rows = crowded.join(classes.select("node", "size", "signature"), "node").select("tree", key.alias("key"), "node", "size", "signature")
+    rows = places.join(classes.select("node", "size", "signature"), "node").select("tree", key.alias("key"), "node", "size", "signature")
     ordered = rows.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     pairs = ordered.select("tree", "node", "size", "signature").mapInArrow(_candidates, "a long, b long, agreement double")
     return stored(pairs.groupBy("a", "b").agg(F.max("agreement").alias("agreement")), "near-pairs")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``node`` and its sorted shingle names, for all nodes of ``pairs``, stored."""
+def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """``node`` and its sorted shingle names, for all nodes of ``pairs`` and of crowds, stored."""
 
     def make(batches):
         last = None
@@ -188,7 +201,8 @@ def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
                     last = node
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "names"])
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    wanted = wanted.union(places.filter("crowd IS NOT NULL").select("node")).distinct()
     wanted = stored(wanted.join(classes.select("node", "first.*"), "node").select("node", F.col("doc_id").alias("id"), "h1", "h2"), "near-wanted")
     # A merge join at every size, because what is wanted grows with the documents.
     wanted = wanted.hint("merge")
@@ -277,12 +291,86 @@ def _hub_pairs(apart: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFra
     return both.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of each of ``left`` with each of ``right``."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    total = np.zeros((len(left), len(right)), np.int64)
+
+    def places(sets):
+        names, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(both, names), len(both) - 1)
+        held = both[at] == names
+        at, rows = at[held], rows[held]
+        order = np.argsort(at, kind="stable")
+        return at[order], rows[order]
+
+    def counted(at, rows, n, start):
+        part = slice(*np.searchsorted(at, [start, start + COUNTED_TOGETHER]))
+        table = np.zeros((n, COUNTED_TOGETHER), np.float32)
+        table[rows[part], at[part] - start] = 1
+        return table
+
+    if len(both):
+        one, two = places(left), places(right)
+        for start in range(0, len(both), COUNTED_TOGETHER):
+            total += (counted(*one, len(left), start) @ counted(*two, len(right), start).T).astype(np.int64)
+    return total
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """The similar pairs of documents on the left and on the right that are in different components."""
+    node, root = (table.column(c).to_numpy() for c in ("node", "root"))
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("names").to_pylist()]
+    left, right = (np.flatnonzero(table.column(c).to_numpy()) for c in ("left", "right"))
+    if not len(left) or not len(right):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    size = np.array([len(s) for s in sets])
+    both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+    linked = 100 * both >= THRESHOLD * (size[left][:, None] + size[right][None, :] - both)
+    i, j = np.nonzero(linked & (root[left][:, None] != root[right][None, :]))
+    one, two = node[left[i]], node[right[j]]
+    return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
+
+
+def _crowd_links(places: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """All links between documents of a crowd that are in different components, by the full sets.
+
+    A crowd is cut into blocks, and each two blocks are compared in a group of their
+    own. A component that fills blocks has its own, which are not compared with one
+    another, so a crowd that is one component costs nothing and a few documents
+    beside it cost its size.
+    """
+    crowd = ["tree", "crowd"]
+    members = places.filter("crowd IS NOT NULL").join(roots, "node", "left")
+    members = members.select(*crowd, "node", F.coalesce("root", "node").alias("root"))
+    sizes = members.groupBy(*crowd, "root").agg(F.count("*").alias("n"))
+    small = F.col("n") < BLOCK
+    mixed = sizes.groupBy(*crowd).agg(F.count("*").alias("roots"), F.sum(F.when(small, F.col("n")).otherwise(0)).alias("rest"))
+    own = F.when(small, F.lit(-1)).otherwise(F.col("root")).alias("own")
+    blocks = F.ceil(F.when(small, F.col("rest")).otherwise(F.col("n")) / BLOCK).alias("blocks")
+    homes = sizes.join(mixed.filter("roots > 1"), crowd).select(*crowd, "root", own, blocks)
+    placed = members.join(homes, [*crowd, "root"]).select(*crowd, "node", "root", "own", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
+    placed = stored(placed, "near-crowds")
+    held = placed.select(*crowd, F.struct("own", "block").alias("at")).distinct()
+    two = held.select(*crowd, F.col("at").alias("to"))
+    apart = (F.col("at.own") != F.col("to.own")) | (F.col("at.own") == -1)
+    met = held.join(two, crowd).filter((F.col("at") <= F.col("to")) & apart)
+    left, right = F.col("side") == F.col("at"), F.col("side") == F.col("to")
+    sides = met.withColumn("side", F.explode(F.array_distinct(F.array("at", "to"))))
+    sides = sides.select(*crowd, "at", "to", "side.*", left.alias("left"), right.alias("right"))
+    rows = sides.join(placed, [*crowd, "own", "block"]).join(sets, "node")
+    pair = [*crowd, F.col("at.own").alias("own_a"), F.col("at.block").alias("block_a"), F.col("to.own").alias("own_b"), F.col("to.block").alias("block_b")]
+    rows = rows.select(*pair, "node", "root", "names", "left", "right")
+    return rows.groupBy(*crowd, "own_a", "block_a", "own_b", "block_b").applyInArrow(_block_links, "a long, b long").distinct()
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame, places: DataFrame) -> DataFrame:
     """``node`` and ``root`` of all linked nodes.
 
     First each node's closest and most central candidates are confirmed. Then the
     candidates that are not in one component by that are, and the hubs of the
-    components beside a document.
+    components beside a document. What is still apart in a crowd is compared as a
+    whole.
     """
     scores = _centrality(pairs)
     links = stored(_confirmed(_first_pairs(pairs, scores), sets), "near-links")
@@ -290,7 +378,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     apart = stored(_apart(pairs, roots), "near-apart")
     hubs = _agreeing(_hub_pairs(apart, scores, roots), classes)
     more = stored(_confirmed(apart.select("a", "b").union(hubs).distinct(), sets), "near-links")
-    return connected_components(links.union(more))
+    links = links.union(more)
+    roots = stored(connected_components(links), "near-roots")
+    rest = stored(_crowd_links(places, sets, roots), "near-links")
+    return roots if rest.isEmpty() else connected_components(links.union(rest))
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -299,8 +390,9 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *text_keys(text), text.alias("text"))
     signed = stored(rows.mapInArrow(_sign, _SIGNED), "near-signed")
     classes = _representatives(signed)
-    pairs = _forest_pairs(classes)
-    roots = stored(_linked(pairs, _full_sets(rows, classes, pairs), classes), "near-roots")
+    places = _places(classes)
+    pairs = _forest_pairs(classes, places)
+    roots = stored(_linked(pairs, _full_sets(rows, classes, pairs, places), classes, places), "near-roots")
     rooted = classes.select("s1", "s2", "node", F.col("first.doc_id").alias("first_id")).join(roots, "node", "left")
     rooted = rooted.select("s1", "s2", "first_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component"))

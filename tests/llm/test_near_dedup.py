@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from haemoloom.llm.components import connected_components
-from haemoloom.llm.near_dedup import near_duplicates, without_near_duplicates
+from haemoloom.llm.near_dedup import _overlaps, near_duplicates, without_near_duplicates
 from rows import awkward, documents, plain, prose
 
 
@@ -63,6 +64,34 @@ def test_components_match_brute_force(spark):
     assert plain(near_duplicates(documents(spark, rows))) == expected(rows)
 
 
+def test_only_partner_in_a_crowd_is_found(spark):
+    """A crowd of copies too far from one another to be linked, and pairs of them that share some of their edits."""
+    made, base = random.Random(21), prose(5, 600).split(" ")
+
+    def changed(words, n):
+        places = set(made.sample(range(3, 597), n))
+        return [f"{w}{made.randint(0, 10**6)}" if i in places else w for i, w in enumerate(words)]
+
+    texts = [" ".join(changed(base, 12)) for _ in range(1000)]
+    for _ in range(60):
+        shared = changed(base, 3)
+        texts += [" ".join(changed(shared, 9)), " ".join(changed(shared, 9))]
+    made.shuffle(places := list(range(len(texts))))
+    rows = [(i, text, None, None, None) for i, text in zip(places, texts)]
+    sets = [shingle_set(t) for t in texts]
+    linked = [i for i in range(1000, 1120, 2) if 100 * len(sets[i] & sets[i + 1]) >= 75 * len(sets[i] | sets[i + 1])]
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(spark, rows)).collect()}
+    assert len(linked) > 20
+    assert [i for i in linked if got[places[i]] != got[places[i + 1]]] == []
+
+
+def test_overlaps_match_sets():
+    made = np.random.default_rng(1)
+    sets = [np.unique(made.integers(0, 40_000, n).astype(np.uint64)) for n in (1, 50, 9_000, 20_000, 3)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]
+    assert _overlaps(sets, sets[2:]).tolist() == want
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_awkward_rows(spark, extra):
     assert plain(near_duplicates(documents(spark, extra=extra))) == expected(awkward())
