@@ -116,7 +116,7 @@ def _judged(rows: DataFrame, least_documents: int, host_share: float, least_left
     removed = (
         places.join(frequent_lines(measured, least_documents, host_share), ["host", "line"])
         .groupBy("row")
-        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed"))
+        .agg(F.sum("words").alias("removed_words"), F.collect_list(F.struct("line", "words")).alias("removed"))
     )
     n, gone = F.col("n_words"), F.coalesce(F.col("removed_words"), F.lit(0))
     failed = (n < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * n)
@@ -124,10 +124,42 @@ def _judged(rows: DataFrame, least_documents: int, host_share: float, least_left
         "doc_id", "host", "h1", "h2", *_COUNTS,
         failed.alias("base_failed"),
         (~failed & (100 * (n - gone) >= least_left * n)).alias("kept"),
+        "removed_words",
         "removed",
     )
 
 
+def _spared(judged: DataFrame, least_documents: int, host_share: float, least_left: int) -> DataFrame:
+    """One document for each set of lines that only its own copies make frequent: ``doc_id``, ``host``, ``h1``, ``h2``, ``removed``.
+
+    A frequent line is shared if it is frequent too among the documents that have
+    enough left without their frequent lines. A document that has too little left, but
+    enough without its shared lines, is a copy; the first of the copies with the same
+    other lines is spared and loses its shared lines only.
+    """
+    text = ["host", "h1", "h2"]
+    depleted = F.col("removed").isNotNull() & (100 * (F.col("n_words") - F.col("removed_words")) < least_left * F.col("n_words"))
+    texts = judged.select(*text, depleted.alias("depleted")).distinct()
+    others = texts.groupBy("host").agg(F.count_if(~F.col("depleted")).alias("others"))
+    apart = judged.filter(F.col("removed").isNotNull() & ~depleted).select(*text, F.explode("removed.line").alias("line")).distinct()
+    shared = apart.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > least_documents)
+    shared = shared.join(others, "host").filter(F.col("documents") > host_share * F.col("others")).select("host", "line", F.lit(True).alias("shared"))
+    # Repeated rows share all of this, so they are one document here.
+    copies = judged.filter(depleted & ~F.col("base_failed")).dropDuplicates(["doc_id", *text])
+    lines = copies.select("doc_id", *text, "n_words", F.explode("removed").alias("held")).select("doc_id", *text, "n_words", "held.*")
+    lines = lines.join(shared, ["host", "line"], "left")
+    own = F.array_sort(F.collect_list(F.when(F.col("shared").isNull(), F.col("line"))))
+    of_copy = lines.groupBy("doc_id", *text, "n_words").agg(
+        own.alias("own"),
+        F.collect_list(F.when(F.col("shared"), F.col("line"))).alias("removed"),
+        F.coalesce(F.sum(F.when(F.col("shared"), F.col("words"))), F.lit(0)).alias("gone"),
+    )
+    of_copy = of_copy.filter(100 * (F.col("n_words") - F.col("gone")) >= least_left * F.col("n_words"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2", "removed")).alias("first")
+    spared = of_copy.groupBy("host", *text_keys(F.col("own").cast("string"))).agg(first)
+    return spared.select("first.doc_id", "host", "first.h1", "first.h2", "first.removed")
+
+
 def _keys(id_col: str, text_col: str, host_col: str) -> list[Column]:
     """What a document is judged by: rows that share these keys share the verdict."""
     host = F.coalesce(F.col(host_col), F.lit("")).alias("host")
@@ -156,7 +188,7 @@ def judge_lines(
     empty result.
     """
     rows = _rows(docs, id_col, text_col, host_col)
-    return _judged(rows, least_documents, host_share, least_left).drop("host", "h1", "h2", "removed")
+    return _judged(rows, least_documents, host_share, least_left).drop("host", "h1", "h2", "removed_words", "removed")
 
 
 def _normal(line: Column) -> Column:
@@ -172,11 +204,16 @@ def clean_documents(
     host_share: float = HOST_SHARE,
     least_left: int = LEAST_LEFT,
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns and without boilerplate lines in their texts."""
+    """The rows of ``docs`` that are kept, with all their columns and without boilerplate lines in their texts.
+
+    Of copies whose lines are frequent only through one another, one document is kept.
+    """
     rows = _rows(docs, id_col, text_col, host_col)
-    verdicts = _judged(rows, least_documents, host_share, least_left).filter("kept")
+    judged = stored(_judged(rows, least_documents, host_share, least_left), "line-verdicts")
     names = ["host", "h1", "h2"]
-    verdicts = verdicts.select(F.col("doc_id").alias("id"), *names, "removed").dropDuplicates(["id", *names])
+    verdicts = judged.filter("kept").select("doc_id", *names, F.col("removed.line").alias("removed"))
+    verdicts = verdicts.union(_spared(judged, least_documents, host_share, least_left))
+    verdicts = verdicts.withColumnRenamed("doc_id", "id").dropDuplicates(["id", *names])
     keyed = docs.select(*_keys(id_col, text_col, host_col), F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
     held = F.filter(
         F.split(F.col("doc")[text_col], "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(_normal(x)))

@@ -93,6 +93,20 @@ def test_boilerplate_is_taken_out_of_texts(spark):
     assert all(set(texts[i].split("\n")) <= set(before[i].split("\n")) for i in texts)
 
 
+def test_one_copy_of_a_large_group_is_kept(spark):
+    """Copies that differ in white space or in their last line make all their lines frequent; a line of all pages still goes."""
+    lines = [prose(500 + k, 12) for k in range(6)]
+    rows = [(i, "\n".join(["share this page", *lines]).replace(" ", " " * (i % 30 + 1), i // 30 + 1), "en", "s", 1) for i in range(60)]
+    rows += [(100 + i, "\n".join([*lines, "share this page", prose(600 + i, 8)]), "en", "s", 1) for i in range(40)]
+    rows += [(200 + i, prose(700 + i, 40) + "\nshare this page", "en", "s", 1) for i in range(50)]
+    assert not any(r.kept for r in judge_lines(documents(spark, rows)).collect() if r.doc_id < 200)
+    kept = {r.doc_id: r.text for r in clean_documents(documents(spark, rows)).collect()}
+    assert [i for i in kept if i < 200] == [0]
+    assert kept[0].split("\n") == rows[0][1].split("\n")[1:]
+    assert {i for i in kept if i >= 200} == set(range(200, 250))
+    assert not any("share this page" in text for text in kept.values())
+
+
 def test_empty_table(spark):
     assert judge_lines(documents(spark, [])).collect() == []
     assert clean_documents(documents(spark, [])).collect() == []
