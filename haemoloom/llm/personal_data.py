@@ -47,6 +47,9 @@ _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A whole token with a digit.
 _TOKEN = rf"(?<!{_NOT_SPACE})(?=[^\x20\x09-\x0D0-9]*+[0-9]){_NOT_SPACE}++"
 
+#: Places inside a word where a form can start.
+_CUT = rf"(?<=[^{_WORD}])(?=[{_WORD}])|(?<=[^0-9])(?=[0-9])|(?<=[^+])(?=\+)"
+
 
 def _bound(value: Column, then) -> Column:
     """``then(value)`` with ``value`` computed once."""
@@ -151,17 +154,35 @@ def _occurrences(base: DataFrame) -> DataFrame:
     return stored(both.filter("context != ''"), "pii-occurrences")
 
 
+def _all_contexts(texts: DataFrame) -> DataFrame:
+    """``context`` at each place of the texts where one can end: after a word, and inside one where a form can start."""
+    words = texts.select(F.split(F.translate("text", _CAPITALS, _CAPITALS.lower()), SPACE + "+").alias("word"))
+    both = words.select("word", F.concat(F.array(F.lit("")), "word").alias("before"))
+    each = both.select(F.explode(F.arrays_zip("word", "before")).alias("held")).select("held.*").filter("word != ''")
+
+    def starts(pieces: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda k: F.array_join(F.slice(pieces, 1, k), ""))
+
+    # No context is longer, so longer starts of a word are none.
+    word = F.left("word", F.lit(CONTEXT_CHARS + 1))
+    ends = F.when(word.rlike(_CUT), _bound(F.split(word, _CUT, -1), starts)).otherwise(F.array(word))
+    ended = each.select("before", F.explode(ends).alias("end"))
+    context = F.when(F.col("end").rlike(r"\p{L}"), F.col("end")).when(F.col("before") != "", F.concat_ws(" ", "before", "end"))
+    return ended.select(context.alias("context"))
+
+
 def _context_totals(texts: DataFrame, occurrences: DataFrame) -> DataFrame:
     """How often each context occurs in all texts, for contexts of enough different values.
 
-    A context of two words counts as often as its last word, so never too rarely.
+    A context that starts inside a word, after another entity, counts where it stands
+    before an entity or identifier.
     """
-    contexts = occurrences.groupBy("context").agg(F.countDistinct("value").alias("values")).filter(F.col("values") >= PATTERN_SUPPORT)
-    contexts = stored(contexts.select("context", F.substring_index("context", " ", -1).alias("word")), "pii-contexts")
-    words = texts.select(F.explode(F.split(F.translate("text", _CAPITALS, _CAPITALS.lower()), SPACE + "+")).alias("word"))
-    wanted = contexts.select("word").distinct()
-    totals = words.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("total"))
-    return stored(contexts.join(totals, "word").select("context", "total"), "pii-totals")
+    contexts = occurrences.groupBy("context").agg(F.countDistinct("value").alias("values"), F.count("*").alias("places"))
+    contexts = stored(contexts.filter(F.col("values") >= PATTERN_SUPPORT).select("context", "places"), "pii-contexts")
+    found = _all_contexts(texts).join(contexts.select("context"), "context", "left_semi")
+    totals = found.groupBy("context").agg(F.count("*").alias("total"))
+    total = F.greatest(F.coalesce("total", F.lit(0)), "places").alias("total")
+    return stored(contexts.join(totals, "context", "left").select("context", total), "pii-totals")
 
 
 def discover(texts: DataFrame, base: DataFrame) -> DataFrame | None:

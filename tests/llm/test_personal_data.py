@@ -91,6 +91,22 @@ def test_common_words_before_seeds_are_no_patterns(spark):
     assert {r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect() if r.doc_id == 9} == {""}
 
 
+def test_two_words_are_counted_together(spark):
+    rows = [(i, f"{prose(i, 8)} passport : user{i}@mail.example.com {prose(i + 50, 8)}", None, None, None) for i in range(6)]
+    rows += [(10, "my Passport  : AB12-3456x is new", None, None, None), (11, "my ticket : AB12-3456y is new", None, None, None)]
+    rows += [(20 + i, f"{prose(i, 3)} : {prose(i + 90, 3)}", None, None, None) for i in range(40)]
+    got = {r.doc_id: r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect()}
+    assert got[10] == "id:15:25" and got[11] == ""
+
+
+def test_words_glued_to_others_are_counted(spark):
+    rows = [(i, f"x ref:user{i}@mail.example.com y key:user{i}@mail.example.com", None, None, None) for i in range(3)]
+    rows += [(10, "x ref: AB12-3456x y", None, None, None), (11, "x key: AB12-3456y y", None, None, None)]
+    rows += [(20 + i, "x ref:none y", None, None, None) for i in range(20)]
+    got = {r.doc_id: r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect()}
+    assert got[10] == "" and got[11] == "id:7:17"
+
+
 def test_redaction(spark):
     docs = documents(spark, extra=True)
     clean = redact(docs)
