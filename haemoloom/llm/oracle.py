@@ -122,6 +122,39 @@ SELECT conv_id,
 FROM sized GROUP BY conv_id
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    return f"regexp_extract_all({_LOWER.format(f"coalesce({text}, '')")}, '{_TERM}')"
+
+
+RANKED_SEARCH = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, {_terms("text")} AS terms FROM documents
+), sizes AS (
+    SELECT row, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0
+), total AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes
+), postings AS (
+    SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY row, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, total GROUP BY term, docs
+), wanted AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT item, item_id, unnest(terms) AS term
+          FROM (SELECT row_number() OVER () AS item, item_id, {_terms("text")} AS terms FROM benchmark))
+    GROUP BY item, item_id, term
+), scored AS (
+    SELECT item, item_id, doc_id, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total.terms))))::BIGINT AS score
+    FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (row), total
+    GROUP BY item, item_id, doc_id, row
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -130,4 +163,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_rules": URL_RULES,
         "op7_near_dedup": NEAR_DEDUP,
         "op10_chat": CHAT,
+        "op12_ranked_search": RANKED_SEARCH,
     }

@@ -5,7 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haemoloom.llm import bpe, chat, exact_dedup, line_rules, near_dedup, packing, personal_data, quality_model, token_files, url_rules
+from haemoloom.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    line_rules,
+    near_dedup,
+    packing,
+    personal_data,
+    quality_model,
+    ranked_search,
+    token_counts,
+    token_files,
+    url_rules,
+    whitening,
+)
 from haemoloom.runtime import scratch_path
 
 
@@ -68,6 +82,18 @@ def op10_chat(spark, sf_dir):
     return chat.read_back(chat.format_conversations(turns.unionByName(more)))
 
 
+def op11_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -80,4 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": op8_personal_data,
         "op9_packing": op9_packing,
         "op10_chat": op10_chat,
+        "op11_token_counts": op11_token_counts,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_whitening": op13_whitening,
     }

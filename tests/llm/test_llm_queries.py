@@ -12,7 +12,7 @@ SMALLEST = "/root/testdata/sf0.001"
 def test_all_queries_are_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(contract.queries())
     assert set(oracle.oracle_sql()) <= set(contract.oracle_sql())
-    assert {int(name[2:].split("_")[0]) for name in queries.queries()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in queries.queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
