@@ -1,18 +1,20 @@
 """Near duplicates by an LSH forest.
 
 Documents are sets of word shingles. Classes of equal sets are represented once.
-Each tree of the forest sorts the representatives by a MinHash signature of its
-own; neighbours in that order share the longest prefixes, so they are the
-candidates. Where few documents share a prefix a short one is enough, where many
-do the order brings those with longer ones together. Candidates are confirmed on
-the full sets. Where more documents share a prefix than are compared, all those that
-are not yet in one component are compared on the full sets, block by block.
+Each tree of the forest sorts the representatives by a MinHash signature of its own
+and cuts the order into regions: where few documents share a prefix a short one is a
+region, where many do it is followed to the depth at which few do. In a region the
+neighbours with the longest common prefix and the first document of that prefix are
+candidates; candidates are confirmed on the full sets and joined to components. Then
+all documents of a region that are in different components are compared. Where a
+prefix is shared by more documents than a region holds, what is still in different
+components is joined on the shingles that are rare among them, which is exact.
 """
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haemoloom.llm.common import byte_texts, stored, text_keys, text_or_empty
@@ -30,25 +32,27 @@ TREES = 24
 DEPTH = 8
 LEAST_DEPTH = 3
 
-#: Followers in a tree's order that a document is compared with. It is also compared
-#: with the first document of each prefix it shares.
-FOLLOWERS = 6
+#: Documents of a region, about: a prefix that more share is followed deeper. At the
+#: greatest depth documents are dealt to regions by their numbers.
+REGION = 256
 
-#: Documents of a component that stand for all of it, for documents beside it.
-HUBS = 32
+#: Documents of a region in which all pairs are candidates from the start.
+SMALL = 8
+
+#: Candidates that a mean is drawn towards the least with.
 FEW = 10
 
-#: Documents of a crowd that are compared with as many others in one task.
-BLOCK = 256
+#: Counters of shingles, by which those rare in crowds are told.
+COUNTERS = 1 << 18
 
-#: Shingles that are counted at a time when blocks are compared.
-COUNTED_TOGETHER = 8192
+#: Documents that hold one rare shingle and are joined together in one task.
+TOGETHER = 1024
 
 #: Slots in a hundred that must agree before full sets are compared: four standard
 #: deviations below the threshold.
 LEAST_AGREEMENT = 0.62
 
-#: Documents of a tree that are sorted in one task at least.
+#: Rows of regions that are sorted in one task at least.
 SORTED_TOGETHER = 4096
 
 _SLOTS = TREES * DEPTH
@@ -105,52 +109,74 @@ def _sign(batches):
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "n_shingles", "s1", "s2", "signature"])
 
 
-def _candidates(batches):
-    """Pairs of a sorted run that share a prefix and agree in enough slots."""
+def _whole_regions(batches):
+    """Arrays (region, tree, node, root, size, slots) of the rows of whole regions, whatever batches they come in."""
     held = None
     for batch in batches:
-        n = batch.num_rows
-        if not n:
+        if not batch.num_rows:
             continue
-        new = (
-            batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64),
-            batch.column(1).to_numpy(zero_copy_only=False),
-            batch.column(2).to_numpy(zero_copy_only=False),
-            np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u2").astype(np.uint16).reshape(n, _SLOTS),
-        )
-        fresh = 0 if held is None else len(held[0])
-        tree, node, size, slots = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-        n = len(tree)
-        keys = slots.reshape(n, TREES, DEPTH)[np.arange(n), tree]
-        same_tree = np.concatenate([[False], tree[1:] == tree[:-1]])
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        new.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u2").astype(np.uint16).reshape(-1, _SLOTS))
+        held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+        # The last region may go on in the next batch.
+        end = int(np.searchsorted(held[0], held[0][-1]))
+        if end:
+            yield [x[:end] for x in held]
+            held = [x[end:] for x in held]
+    if held is not None:
+        yield held
+
+
+def _agreeing_pairs(left, right, node, size, slots):
+    """A batch of the pairs of rows that agree in enough slots and may be similar by their sizes."""
+    close = 100 * np.minimum(size[left], size[right]) >= THRESHOLD * np.maximum(size[left], size[right])
+    left, right = left[close], right[close]
+    agreement = np.zeros(len(left))
+    for at in range(0, len(left), 4096):
+        part = slice(at, at + 4096)
+        agreement[part] = (slots[left[part]] == slots[right[part]]).mean(axis=1)
+    good = agreement >= LEAST_AGREEMENT
+    one, two = node[left[good]], node[right[good]]
+    columns = [np.minimum(one, two), np.maximum(one, two), agreement[good]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "agreement"])
+
+
+def _first_candidates(batches):
+    """Neighbours in the order of a region, and each row with the first of its longest shared prefix."""
+    for region, tree, node, _, size, slots in _whole_regions(batches):
+        n = len(region)
+        rows = np.arange(n)
+        keys = slots.reshape(n, TREES, DEPTH)[rows, tree]
+        inside = np.concatenate([[False], region[1:] == region[:-1]])
         equal = np.concatenate([np.zeros((1, DEPTH), bool), keys[1:] == keys[:-1]])
-        shared = np.cumprod(equal, axis=1).sum(axis=1) * same_tree  # with the row before
+        shared = np.cumprod(equal, axis=1).sum(axis=1) * inside  # with the row before
+        deepest = np.maximum(shared, np.append(shared[1:], 0))
+        start = np.maximum.accumulate(np.where(inside, 0, rows))
+        many = np.diff(np.append(np.flatnonzero(~inside), n))
+        many = np.repeat(many, many) > SMALL
         left, right = [], []
-        rows = np.arange(n)
-        for depth in range(LEAST_DEPTH, DEPTH + 1):
+        for depth in range(1, DEPTH + 1):
             first = np.maximum.accumulate(np.where(shared < depth, rows, 0))
-            led = rows[fresh:][first[fresh:] < rows[fresh:]]
+            led = rows[(deepest == depth) & (first < rows)]
             left.append(first[led])
             right.append(led)
-        reach = np.maximum.accumulate(np.where(shared < LEAST_DEPTH, rows, 0))
-        for step in range(1, FOLLOWERS + 1):
-            later = rows[max(fresh, step) :]
-            later = later[reach[later] <= later - step]
+        for step in range(1, SMALL):
+            later = rows[step:]
+            later = later[(start[later] <= later - step) & (~many[later] | (step == 1))]
             left.append(later - step)
             right.append(later)
         pairs = np.unique(np.concatenate(left) * n + np.concatenate(right))
-        a, b = pairs // n, pairs % n
-        close = 100 * np.minimum(size[a], size[b]) >= THRESHOLD * np.maximum(size[a], size[b])
-        a, b = a[close], b[close]
-        agreement = np.zeros(len(a), np.float32)
-        for at in range(0, len(a), 4096):
-            part = slice(at, at + 4096)
-            agreement[part] = (slots[a[part]] == slots[b[part]]).mean(axis=1)
-        good = agreement >= LEAST_AGREEMENT
-        one, two = node[a[good]], node[b[good]]
-        columns = [np.minimum(one, two), np.maximum(one, two), agreement[good].astype(np.float64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "agreement"])
-        held = tuple(x[-FOLLOWERS:] for x in (tree, node, size, slots))
+        yield _agreeing_pairs(pairs // n, pairs % n, node, size, slots)
+
+
+def _second_candidates(batches):
+    """All pairs of a region whose ends are in different components."""
+    for region, _, node, root, size, slots in _whole_regions(batches):
+        starts = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
+        for start, end in zip(starts, np.append(starts[1:], len(region))):
+            roots = root[start:end]
+            left, right = np.nonzero(np.triu(roots[:, None] != roots[None, :]))
+            yield _agreeing_pairs(start + left, start + right, node, size, slots)
 
 
 def _representatives(signed: DataFrame) -> DataFrame:
@@ -162,33 +188,74 @@ def _representatives(signed: DataFrame) -> DataFrame:
     return stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
 
-def _places(classes: DataFrame) -> DataFrame:
-    """``node`` and ``tree`` where a prefix is shared, stored; ``crowd`` is the prefix if more share it than are compared."""
+def _prefix(depth) -> Column:
+    return F.substring(F.col("key"), F.lit(1), F.lit(_SLOT_BYTES) * depth)
+
+
+def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The region of each node in each tree where it shares a prefix, and pairs of nodes that stand for regions, both stored.
+
+    The first has ``node``, ``tree``, ``key``, ``region``, its size ``n``, and
+    ``crowd``, which is set where the least prefix has more than one region.
+    """
     tree_bytes = DEPTH * _SLOT_BYTES
-    prefixes = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda t: F.substring(F.col("signature"), t * tree_bytes + 1, F.lit(LEAST_DEPTH * _SLOT_BYTES)),
+    keys = F.transform(
+        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.substring(F.col("signature"), t * tree_bytes + 1, F.lit(tree_bytes))
     )
-    places = classes.select("node", F.posexplode(prefixes).alias("tree", "prefix"))
+    places = classes.select("node", F.posexplode(keys).alias("tree", "key")).withColumn("prefix", _prefix(LEAST_DEPTH))
     shared = places.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
-    crowd = F.when(F.col("n") > FOLLOWERS + 1, F.col("prefix")).alias("crowd")
-    return stored(places.join(shared, ["tree", "prefix"]).select("node", "tree", crowd), "near-places")
+    places = stored(places.join(shared, ["tree", "prefix"]).select("node", "tree", "key", "prefix", "n"), "near-places")
+    crowded = places.filter(F.col("n") > REGION).select("node", "tree", "key")
+    levels = crowded.withColumn("depth", F.explode(F.sequence(F.lit(LEAST_DEPTH), F.lit(DEPTH)))).withColumn("prefix", _prefix(F.col("depth")))
+    groups = levels.groupBy("tree", "depth", "prefix").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
+    groups = stored(groups, "near-prefixes")
+    large = F.col("n") > REGION
+    # The shortest prefix that is no larger than a region, else the longest.
+    choice = F.struct(large.alias("large"), F.when(large, -F.col("depth")).otherwise(F.col("depth")).alias("order"), "prefix", "n", "leader")
+    chosen = levels.join(groups, ["tree", "depth", "prefix"]).groupBy("tree", "node", "key").agg(F.min(choice).alias("best"))
+    part = F.when(F.col("large"), F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / REGION))).otherwise(0)
+    deep = chosen.select("node", "tree", "key", "best.*").withColumn("region", F.xxhash64("tree", "prefix", part))
+    deep = stored(deep.withColumn("crowd", F.xxhash64("tree", _prefix(LEAST_DEPTH))), "near-regions")
+    plain = places.filter(F.col("n") <= REGION).withColumn("region", F.xxhash64("tree", "prefix", F.lit(0).cast("long")))
+    columns = ["node", "tree", "key", "region", "n"]
+    regions = plain.select(*columns, F.lit(None).cast("long").alias("crowd")).union(deep.select(*columns, "crowd"))
+    above = groups.select("tree", (F.col("depth") + 1).alias("depth"), F.col("prefix").alias("above"), F.col("leader").alias("two"))
+    inner = groups.select("tree", "depth", F.substring("prefix", F.lit(1), (F.col("depth") - 1) * _SLOT_BYTES).alias("above"), F.col("leader").alias("one"))
+    leaders = inner.join(above, ["tree", "depth", "above"]).select("one", "two")
+    dealt = deep.filter("large").groupBy("region").agg(F.min("node").alias("one"), F.min("leader").alias("two")).select("one", "two")
+    pairs = leaders.union(dealt).filter("one != two").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
+    return regions, stored(pairs.distinct(), "near-leaders")
+
+
+def _in_regions(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (node, tree, key, region, root) with size and signature, each region in order and in one task."""
+    spark = classes.sparkSession
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // SORTED_TOGETHER))
+    signed = rows.join(classes.select("node", "size", "signature"), "node")
+    dealt = signed.repartition(parts, "region").sortWithinPartitions("region", "tree", "key", "node")
+    return dealt.select("region", "tree", "node", "root", "size", "signature")
 
 
-def _forest_pairs(classes: DataFrame, places: DataFrame) -> DataFrame:
-    """``a``, ``b`` and ``agreement`` of all candidates, stored."""
-    spark = classes.sparkSession
-    tree_bytes = DEPTH * _SLOT_BYTES
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), places.count() // SORTED_TOGETHER))
-    key = F.substring(F.col("signature"), F.col("tree") * tree_bytes + 1, F.lit(tree_bytes))
-    rows = places.join(classes.select("node", "size", "signature"), "node").select("tree", key.alias("key"), "node", "size", "signature")
-    ordered = rows.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    pairs = ordered.select("tree", "node", "size", "signature").mapInArrow(_candidates, "a long, b long, agreement double")
+_PAIRS = "a long, b long, agreement double"
+
+
+def _forest_pairs(classes: DataFrame, regions: DataFrame, leaders: DataFrame) -> DataFrame:
+    """``a``, ``b`` and ``agreement`` of the first candidates, stored."""
+    rows = _in_regions(regions.select("node", "tree", "key", "region", F.col("node").alias("root")), classes)
+    pairs = rows.mapInArrow(_first_candidates, _PAIRS).union(_agreeing(leaders, classes))
     return stored(pairs.groupBy("a", "b").agg(F.max("agreement").alias("agreement")), "near-pairs")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """``node`` and its sorted shingle names, for all nodes of ``pairs`` and of crowds, stored."""
+def _pairs_apart(classes: DataFrame, regions: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a`` and ``b`` of all candidates of a region that are in different components."""
+    rows = regions.filter(F.col("n") > SMALL).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rows.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("region")
+    rows = stored(rows.join(mixed, "region").select("node", "tree", "key", "region", "root"), "near-mixed")
+    return _in_regions(rows, classes).mapInArrow(_second_candidates, _PAIRS).select("a", "b").distinct()
+
+
+def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, regions: DataFrame) -> DataFrame:
+    """``node`` and its sorted shingle names, for all nodes of ``pairs`` and of regions that are not small, stored."""
 
     def make(batches):
         last = None
@@ -202,7 +269,7 @@ def _full_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, places: Da
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "names"])
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    wanted = wanted.union(places.filter("crowd IS NOT NULL").select("node")).distinct()
+    wanted = wanted.union(regions.filter(F.col("n") > SMALL).select("node")).distinct()
     wanted = stored(wanted.join(classes.select("node", "first.*"), "node").select("node", F.col("doc_id").alias("id"), "h1", "h2"), "near-wanted")
     # A merge join at every size, because what is wanted grows with the documents.
     wanted = wanted.hint("merge")
@@ -238,17 +305,19 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The ``pairs`` that agree in enough slots of their signatures."""
+    """The ``pairs`` that agree in enough slots of their signatures, and may be similar by their sizes."""
 
     def compare(batches):
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, _SLOTS) for i in (2, 3))
-            good = pa.array(np.flatnonzero((one == two).mean(axis=1) >= LEAST_AGREEMENT))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(good), batch.column(1).take(good)], ["a", "b"])
+            n = batch.num_rows
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            node, size = np.concatenate(columns[:2]), np.concatenate(columns[2:])
+            slots = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, _SLOTS) for i in (4, 5)]
+            yield _agreeing_pairs(np.arange(n), np.arange(n, 2 * n), node, size, np.concatenate(slots))
 
-    side = lambda end, name: classes.select(F.col("node").alias(end), F.col("signature").alias(name))
-    signed = pairs.join(side("a", "one"), "a").join(side("b", "two"), "b")
-    return signed.select("a", "b", "one", "two").mapInArrow(compare, "a long, b long")
+    side = lambda end: classes.select(*(F.col(c).alias(f"{c}_{end}" if c != "node" else end) for c in ("node", "size", "signature")))
+    signed = pairs.join(side("a"), "a").join(side("b"), "b")
+    return signed.select("a", "b", "size_a", "size_b", "signature_a", "signature_b").mapInArrow(compare, _PAIRS)
 
 
 def _both_ends(pairs: DataFrame) -> DataFrame:
@@ -278,109 +347,89 @@ def _first_pairs(pairs: DataFrame, scores: DataFrame) -> DataFrame:
     return best.select(F.explode(F.array("closest", "central")).alias("pair")).select("pair.*").distinct()
 
 
-def _hub_pairs(apart: DataFrame, scores: DataFrame, roots: DataFrame) -> DataFrame:
-    """Each document with candidates in another component, and the hubs of that component.
+def _crowd_links(regions: DataFrame, sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """All links between documents of crowds that are in different components, by the full sets.
 
-    The hubs are its most central documents, so a large group is searched without
-    its pairs.
-    """
-    beside = apart.select(F.col("a").alias("one"), F.col("root_b").alias("root")).union(apart.select("b", "root_a")).distinct()
-    order = Window.partitionBy("root").orderBy(F.desc("score"), "node")
-    hubs = scores.join(roots, "node").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
-    both = beside.join(hubs.select("root", F.col("node").alias("two")), "root")
-    return both.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
-
-
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """The size of the intersection of each of ``left`` with each of ``right``."""
-    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
-    total = np.zeros((len(left), len(right)), np.int64)
-
-    def places(sets):
-        names, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        at = np.minimum(np.searchsorted(both, names), len(both) - 1)
-        held = both[at] == names
-        at, rows = at[held], rows[held]
-        order = np.argsort(at, kind="stable")
-        return at[order], rows[order]
-
-    def counted(at, rows, n, start):
-        part = slice(*np.searchsorted(at, [start, start + COUNTED_TOGETHER]))
-        table = np.zeros((n, COUNTED_TOGETHER), np.float32)
-        table[rows[part], at[part] - start] = 1
-        return table
-
-    if len(both):
-        one, two = places(left), places(right)
-        for start in range(0, len(both), COUNTED_TOGETHER):
-            total += (counted(*one, len(left), start) @ counted(*two, len(right), start).T).astype(np.int64)
-    return total
-
-
-def _block_links(table: pa.Table) -> pa.Table:
-    """The similar pairs of documents on the left and on the right that are in different components."""
-    node, root = (table.column(c).to_numpy() for c in ("node", "root"))
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("names").to_pylist()]
-    left, right = (np.flatnonzero(table.column(c).to_numpy()) for c in ("left", "right"))
-    if not len(left) or not len(right):
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    size = np.array([len(s) for s in sets])
-    both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
-    linked = 100 * both >= THRESHOLD * (size[left][:, None] + size[right][None, :] - both)
-    i, j = np.nonzero(linked & (root[left][:, None] != root[right][None, :]))
-    one, two = node[left[i]], node[right[j]]
-    return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
-
-
-def _crowd_links(places: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """All links between documents of a crowd that are in different components, by the full sets.
-
-    A crowd is cut into blocks, and each two blocks are compared in a group of their
-    own. A component that fills blocks has its own, which are not compared with one
-    another, so a crowd that is one component costs nothing and a few documents
-    beside it cost its size.
+    Of two sets that are similar enough, the smaller has one of its rarest shingles,
+    a seventh of all, among the rarest quarter of the other's, in any order that is
+    the same for both. So documents meet on shingles that are rare in the crowds,
+    where they are of different components and similar size. What a rare shingle's
+    documents have to be compared with is dealt in blocks.
     """
-    crowd = ["tree", "crowd"]
-    members = places.filter("crowd IS NOT NULL").join(roots, "node", "left")
-    members = members.select(*crowd, "node", F.coalesce("root", "node").alias("root"))
-    sizes = members.groupBy(*crowd, "root").agg(F.count("*").alias("n"))
-    small = F.col("n") < BLOCK
-    mixed = sizes.groupBy(*crowd).agg(F.count("*").alias("roots"), F.sum(F.when(small, F.col("n")).otherwise(0)).alias("rest"))
-    own = F.when(small, F.lit(-1)).otherwise(F.col("root")).alias("own")
-    blocks = F.ceil(F.when(small, F.col("rest")).otherwise(F.col("n")) / BLOCK).alias("blocks")
-    homes = sizes.join(mixed.filter("roots > 1"), crowd).select(*crowd, "root", own, blocks)
-    placed = members.join(homes, [*crowd, "root"]).select(*crowd, "node", "root", "own", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
-    placed = stored(placed, "near-crowds")
-    held = placed.select(*crowd, F.struct("own", "block").alias("at")).distinct()
-    two = held.select(*crowd, F.col("at").alias("to"))
-    apart = (F.col("at.own") != F.col("to.own")) | (F.col("at.own") == -1)
-    met = held.join(two, crowd).filter((F.col("at") <= F.col("to")) & apart)
-    left, right = F.col("side") == F.col("at"), F.col("side") == F.col("to")
-    sides = met.withColumn("side", F.explode(F.array_distinct(F.array("at", "to"))))
-    sides = sides.select(*crowd, "at", "to", "side.*", left.alias("left"), right.alias("right"))
-    rows = sides.join(placed, [*crowd, "own", "block"]).join(sets, "node")
-    pair = [*crowd, F.col("at.own").alias("own_a"), F.col("at.block").alias("block_a"), F.col("to.own").alias("own_b"), F.col("to.block").alias("block_b")]
-    rows = rows.select(*pair, "node", "root", "names", "left", "right")
-    return rows.groupBy(*crowd, "own_a", "block_a", "own_b", "block_b").applyInArrow(_block_links, "a long, b long").distinct()
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame, places: DataFrame) -> DataFrame:
+    members = regions.filter("crowd IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = members.groupBy("crowd").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("crowd")
+    apart = stored(members.join(mixed, "crowd").select("node", "root").distinct(), "near-crowds")
+    held = stored(apart.join(sets, "node"), "near-crowd-sets")
+    rare = stored(held.mapInArrow(_rare_shingles(_counters(held)), "shingle long, node long, root long, size long, seventh boolean"), "near-rare")
+    blocks = F.ceil(F.count_if("seventh") / TOGETHER)
+    met = rare.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), blocks.alias("blocks"))
+    rare = rare.join(met.filter("low != high AND blocks > 0").select("shingle", "blocks"), "shingle")
+    small = rare.filter("seventh").select("shingle", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.struct("size", "node").alias("one"), F.col("root").alias("root_one"))
+    large = rare.select("shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.struct("size", "node").alias("two"), F.col("root").alias("root_two"))
+    near = (F.col("one") < F.col("two")) & (100 * F.col("one.size") >= THRESHOLD * F.col("two.size")) & (F.col("root_one") != F.col("root_two"))
+    pairs = small.join(large, ["shingle", "block"]).filter(near)
+    pairs = pairs.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
+    return _confirmed(_agreeing(pairs, classes).select("a", "b"), sets)
+
+
+def _counter(names: np.ndarray) -> np.ndarray:
+    return (names >> np.uint64(46)).astype(np.int64)
+
+
+def _counters(held: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall to each counter."""
+
+    def count(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for names in batch.column(0).to_pylist():
+                np.add.at(total, _counter(np.frombuffer(names, np.uint64)), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["counter", "n"])
+
+    sums = held.select("names").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    out = np.zeros(COUNTERS, np.int64)
+    for row in sums.toLocalIterator():  # a number for each counter
+        out[row["counter"]] = row["n"]
+    return out
+
+
+def _rare_shingles(counters: np.ndarray):
+    """The rarest quarter of each set's shingles, rarest first; ``seventh`` marks those of the rarest seventh."""
+
+    def choose(batches):
+        for batch in batches:
+            rows = []
+            for node, root, names in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                names = np.frombuffer(names, np.uint64)
+                n = len(names)
+                order = np.lexsort((names, counters[_counter(names)]))[: n - (THRESHOLD * n + 99) // 100 + 1]
+                seventh = n - (2 * THRESHOLD * n + THRESHOLD + 99) // (THRESHOLD + 100) + 1
+                rows.append((names[order].view(np.int64), node, root, n, np.arange(len(order)) < seventh))
+            if rows:
+                sizes = [len(r[0]) for r in rows]
+                columns = [np.concatenate([r[0] for r in rows]), *(np.repeat([r[i] for r in rows], sizes) for i in (1, 2, 3))]
+                columns.append(np.concatenate([r[4] for r in rows]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "node", "root", "size", "seventh"])
+
+    return choose
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame, regions: DataFrame) -> DataFrame:
     """``node`` and ``root`` of all linked nodes.
 
     First each node's closest and most central candidates are confirmed. Then the
-    candidates that are not in one component by that are, and the hubs of the
-    components beside a document. What is still apart in a crowd is compared as a
-    whole.
+    candidates that are not in one component by that are, and all others of their
+    regions. What is still apart in a crowd is joined as a whole. Pairs inside a
+    component are never needed, so leaving them out loses no link between components.
     """
     scores = _centrality(pairs)
     links = stored(_confirmed(_first_pairs(pairs, scores), sets), "near-links")
     roots = stored(connected_components(links), "near-roots")
-    apart = stored(_apart(pairs, roots), "near-apart")
-    hubs = _agreeing(_hub_pairs(apart, scores, roots), classes)
-    more = stored(_confirmed(apart.select("a", "b").union(hubs).distinct(), sets), "near-links")
-    links = links.union(more)
+    more = _apart(pairs, roots).select("a", "b").union(_pairs_apart(classes, regions, roots)).distinct()
+    links = links.union(stored(_confirmed(more, sets), "near-links"))
     roots = stored(connected_components(links), "near-roots")
-    rest = stored(_crowd_links(places, sets, roots), "near-links")
+    rest = stored(_crowd_links(regions, sets, classes, roots), "near-links")
     return roots if rest.isEmpty() else connected_components(links.union(rest))
 
 
@@ -390,9 +439,9 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *text_keys(text), text.alias("text"))
     signed = stored(rows.mapInArrow(_sign, _SIGNED), "near-signed")
     classes = _representatives(signed)
-    places = _places(classes)
-    pairs = _forest_pairs(classes, places)
-    roots = stored(_linked(pairs, _full_sets(rows, classes, pairs, places), classes, places), "near-roots")
+    regions, leaders = _regions(classes)
+    pairs = _forest_pairs(classes, regions, leaders)
+    roots = stored(_linked(pairs, _full_sets(rows, classes, pairs, regions), classes, regions), "near-roots")
     rooted = classes.select("s1", "s2", "node", F.col("first.doc_id").alias("first_id")).join(roots, "node", "left")
     rooted = rooted.select("s1", "s2", "first_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component"))

@@ -2,10 +2,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from haemoloom.llm import near_dedup
+from haemoloom.llm.common import text_keys
 from haemoloom.llm.components import connected_components
-from haemoloom.llm.near_dedup import _overlaps, near_duplicates, without_near_duplicates
+from haemoloom.llm.near_dedup import near_duplicates, without_near_duplicates
 from rows import awkward, documents, plain, prose
 
 
@@ -85,11 +89,83 @@ def test_only_partner_in_a_crowd_is_found(spark):
     assert [i for i in linked if got[places[i]] != got[places[i + 1]]] == []
 
 
-def test_overlaps_match_sets():
-    made = np.random.default_rng(1)
-    sets = [np.unique(made.integers(0, 40_000, n).astype(np.uint64)) for n in (1, 50, 9_000, 20_000, 3)]
-    want = [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]
-    assert _overlaps(sets, sets[2:]).tolist() == want
+def crowd(n, words=600, edits=12, seed=21):
+    """Copies of one text with edits of their own: their signatures agree, but few or none are linked."""
+    made, base = random.Random(seed), prose(5, words).split(" ")
+    for i in range(n):
+        places = set(made.sample(range(3, words - 3), edits))
+        yield (i, " ".join(f"{w}{made.randint(0, 10**6)}" if j in places else w for j, w in enumerate(base)), None, None, None)
+
+
+def steps(spark, rows):
+    docs = documents(spark, rows).withColumn("text", F.coalesce("text", F.lit("")))
+    signed = docs.select("doc_id", *text_keys(F.col("text")), "text").mapInArrow(near_dedup._sign, near_dedup._SIGNED)
+    # Numbers of nodes that do not depend on partitions, so that runs can be compared.
+    classes = near_dedup._representatives(signed).withColumn("node", F.col("first.doc_id"))
+    return docs.select("doc_id", *text_keys(F.col("text")), "text"), classes, *near_dedup._regions(classes)
+
+
+def test_candidates_do_not_depend_on_partitions_or_batches(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SORTED_TOGETHER", 16)
+    monkeypatch.setattr(near_dedup, "REGION", 32)
+    rows = groups_of_copies() + [(5000 + r[0], *r[1:]) for r in crowd(200, 200, 3)]
+    found = []
+    for parts, batch in ((2, 10_000), (7, 50), (64, 10_000), (7, 50)):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            _, classes, regions, leaders = steps(spark, rows)
+            found.append(plain(near_dedup._forest_pairs(classes, regions, leaders)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    assert len(found[0]) > 500
+    assert found[1:] == found[:1] * 3
+
+
+@pytest.mark.parametrize("region", [2, 8, 40])
+def test_small_regions_lose_no_link(spark, monkeypatch, region):
+    """Whatever is not compared in regions is found by the join on rare shingles."""
+    monkeypatch.setattr(near_dedup, "REGION", region)
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
+    monkeypatch.setattr(near_dedup, "TOGETHER", 3)
+    rows = groups_of_copies()
+    assert plain(near_duplicates(documents(spark, rows))) == expected(rows)
+
+
+def test_crowd_without_links_has_few_candidates(spark):
+    """One long text that stands whole in many documents, which all go on in their own words."""
+    base = prose(5, 200)
+    rows = [(i, f"{base} {prose(100 + i, 48)}", None, None, None) for i in range(1500)]
+    docs, classes, regions, leaders = steps(spark, rows)
+    sets = near_dedup._full_sets(docs, classes, near_dedup._forest_pairs(classes, regions, leaders), regions)
+    apart = classes.select("node", F.col("node").alias("root"))
+    seen = []
+    agreeing = near_dedup._agreeing
+    near_dedup._agreeing = lambda pairs, of: agreeing(seen.append(pairs.count()) or pairs, of)
+    try:
+        near_dedup._crowd_links(regions, sets, classes, apart).count()
+    finally:
+        near_dedup._agreeing = agreeing
+    assert regions.filter("crowd IS NOT NULL").select("node").distinct().count() > 1000
+    assert seen[0] < len(rows)
+
+
+def test_rarest_shingles_of_similar_sets_meet():
+    made = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(made.integers(1, 60))
+        one = made.integers(0, 1 << 63, n).astype(np.uint64)
+        two = np.concatenate([one[: n - int(made.integers(0, n // 3 + 1))], made.integers(0, 1 << 63, int(made.integers(0, n // 4 + 1))).astype(np.uint64)])
+        one, two = np.unique(one), np.unique(two)
+        both = len(np.intersect1d(one, two))
+        if 100 * both < 75 * (len(one) + len(two) - both):
+            continue
+        counters = made.integers(0, 3, near_dedup.COUNTERS)
+        batch = pa.RecordBatch.from_pydict({"node": [1, 2], "root": [1, 2], "names": [one.tobytes(), two.tobytes()]})
+        rows = pa.Table.from_batches(list(near_dedup._rare_shingles(counters)([batch]))).to_pylist()
+        low, high = (1, 2) if (len(one), 1) < (len(two), 2) else (2, 1)
+        assert {r["shingle"] for r in rows if r["node"] == low and r["seventh"]} & {r["shingle"] for r in rows if r["node"] == high}
 
 
 @pytest.mark.parametrize("extra", [False, True])
