@@ -418,17 +418,20 @@ def _rare_shingles(counters: np.ndarray):
 def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame, regions: DataFrame) -> DataFrame:
     """``node`` and ``root`` of all linked nodes.
 
-    First each node's closest and most central candidates are confirmed. Then the
-    candidates that are not in one component by that are, and all others of their
-    regions. What is still apart in a crowd is joined as a whole. Pairs inside a
-    component are never needed, so leaving them out loses no link between components.
+    First each node's closest and most central candidates are confirmed, then the
+    candidates that are not in one component by that, then all other pairs of their
+    regions that are not. What is still apart in a crowd is joined as a whole. Pairs
+    inside a component are never needed, so leaving them out loses no link between
+    components.
     """
     scores = _centrality(pairs)
     links = stored(_confirmed(_first_pairs(pairs, scores), sets), "near-links")
     roots = stored(connected_components(links), "near-roots")
-    more = _apart(pairs, roots).select("a", "b").union(_pairs_apart(classes, regions, roots)).distinct()
-    links = links.union(stored(_confirmed(more, sets), "near-links"))
-    roots = stored(connected_components(links), "near-roots")
+    for candidates in (lambda: _apart(pairs, roots).select("a", "b"), lambda: _pairs_apart(classes, regions, roots)):
+        more = stored(_confirmed(candidates(), sets), "near-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = stored(connected_components(links), "near-roots")
     rest = stored(_crowd_links(regions, sets, classes, roots), "near-links")
     return roots if rest.isEmpty() else connected_components(links.union(rest))
 
