@@ -110,13 +110,13 @@ def _sign(batches):
 
 
 def _whole_regions(batches):
-    """Arrays (region, tree, node, root, size, slots) of the rows of whole regions, whatever batches they come in."""
+    """Arrays (region, tree, node, crowded, root, size, slots) of the rows of whole regions, whatever batches they come in."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-        new.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u2").astype(np.uint16).reshape(-1, _SLOTS))
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+        new.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), ">u2").astype(np.uint16).reshape(-1, _SLOTS))
         held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
         # The last region may go on in the next batch.
         end = int(np.searchsorted(held[0], held[0][-1]))
@@ -127,8 +127,8 @@ def _whole_regions(batches):
         yield held
 
 
-def _agreeing_pairs(left, right, node, size, slots):
-    """A batch of the pairs of rows that agree in enough slots and may be similar by their sizes."""
+def _agreeing_rows(left, right, size, slots):
+    """The pairs of rows that agree in enough slots and may be similar by their sizes, and how much they agree."""
     close = 100 * np.minimum(size[left], size[right]) >= THRESHOLD * np.maximum(size[left], size[right])
     left, right = left[close], right[close]
     agreement = np.zeros(len(left))
@@ -136,14 +136,26 @@ def _agreeing_pairs(left, right, node, size, slots):
         part = slice(at, at + 4096)
         agreement[part] = (slots[left[part]] == slots[right[part]]).mean(axis=1)
     good = agreement >= LEAST_AGREEMENT
-    one, two = node[left[good]], node[right[good]]
-    columns = [np.minimum(one, two), np.maximum(one, two), agreement[good]]
+    return left[good], right[good], agreement[good]
+
+
+def _pair_batch(left, right, agreement, node) -> pa.RecordBatch:
+    one, two = node[left], node[right]
+    columns = [np.minimum(one, two), np.maximum(one, two), agreement]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "agreement"])
 
 
+def _best_of_roots(row, root, agreement) -> np.ndarray:
+    """Places of the pairs in which a row agrees most with a component."""
+    order = np.lexsort((-agreement, root, row))
+    row, root = row[order], root[order]
+    new = (row[1:] != row[:-1]) | (root[1:] != root[:-1])
+    return order[np.append(True, new)] if len(order) else order
+
+
 def _first_candidates(batches):
     """Neighbours in the order of a region, and each row with the first of its longest shared prefix."""
-    for region, tree, node, _, size, slots in _whole_regions(batches):
+    for region, tree, node, _, _, size, slots in _whole_regions(batches):
         n = len(region)
         rows = np.arange(n)
         keys = slots.reshape(n, TREES, DEPTH)[rows, tree]
@@ -166,17 +178,26 @@ def _first_candidates(batches):
             left.append(later - step)
             right.append(later)
         pairs = np.unique(np.concatenate(left) * n + np.concatenate(right))
-        yield _agreeing_pairs(pairs // n, pairs % n, node, size, slots)
+        yield _pair_batch(*_agreeing_rows(pairs // n, pairs % n, size, slots), node)
 
 
 def _second_candidates(batches):
-    """All pairs of a region whose ends are in different components."""
-    for region, _, node, root, size, slots in _whole_regions(batches):
+    """Pairs of a region whose ends are in different components.
+
+    All of them where the region is a whole prefix. In a crowd, which is joined on
+    rare shingles in the end, those in which a document agrees most with a component.
+    """
+    for region, _, node, crowded, root, size, slots in _whole_regions(batches):
         starts = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
         for start, end in zip(starts, np.append(starts[1:], len(region))):
             roots = root[start:end]
             left, right = np.nonzero(np.triu(roots[:, None] != roots[None, :]))
-            yield _agreeing_pairs(start + left, start + right, node, size, slots)
+            left, right, agreement = _agreeing_rows(start + left, start + right, size, slots)
+            if crowded[start]:
+                best = [_best_of_roots(left, root[right], agreement), _best_of_roots(right, root[left], agreement)]
+                best = np.unique(np.concatenate(best))
+                left, right, agreement = left[best], right[best], agreement[best]
+            yield _pair_batch(left, right, agreement, node)
 
 
 def _representatives(signed: DataFrame) -> DataFrame:
@@ -228,12 +249,12 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _in_regions(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (node, tree, key, region, root) with size and signature, each region in order and in one task."""
+    """Rows (node, tree, key, region, crowded, root) with size and signature, each region in order and in one task."""
     spark = classes.sparkSession
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // SORTED_TOGETHER))
     signed = rows.join(classes.select("node", "size", "signature"), "node")
     dealt = signed.repartition(parts, "region").sortWithinPartitions("region", "tree", "key", "node")
-    return dealt.select("region", "tree", "node", "root", "size", "signature")
+    return dealt.select("region", "tree", "node", "crowded", "root", "size", "signature")
 
 
 _PAIRS = "a long, b long, agreement double"
@@ -241,16 +262,18 @@ _PAIRS = "a long, b long, agreement double"
 
 def _forest_pairs(classes: DataFrame, regions: DataFrame, leaders: DataFrame) -> DataFrame:
     """``a``, ``b`` and ``agreement`` of the first candidates, stored."""
-    rows = _in_regions(regions.select("node", "tree", "key", "region", F.col("node").alias("root")), classes)
+    alone = regions.select("node", "tree", "key", "region", F.lit(False).alias("crowded"), F.col("node").alias("root"))
+    rows = _in_regions(alone, classes)
     pairs = rows.mapInArrow(_first_candidates, _PAIRS).union(_agreeing(leaders, classes))
     return stored(pairs.groupBy("a", "b").agg(F.max("agreement").alias("agreement")), "near-pairs")
 
 
 def _pairs_apart(classes: DataFrame, regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """``a`` and ``b`` of all candidates of a region that are in different components."""
+    """``a`` and ``b`` of the candidates of regions that are in different components."""
     rows = regions.filter(F.col("n") > SMALL).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rows.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("region")
-    rows = stored(rows.join(mixed, "region").select("node", "tree", "key", "region", "root"), "near-mixed")
+    crowded = F.col("crowd").isNotNull().alias("crowded")
+    rows = stored(rows.join(mixed, "region").select("node", "tree", "key", "region", crowded, "root"), "near-mixed")
     return _in_regions(rows, classes).mapInArrow(_second_candidates, _PAIRS).select("a", "b").distinct()
 
 
@@ -313,7 +336,7 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             node, size = np.concatenate(columns[:2]), np.concatenate(columns[2:])
             slots = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, _SLOTS) for i in (4, 5)]
-            yield _agreeing_pairs(np.arange(n), np.arange(n, 2 * n), node, size, np.concatenate(slots))
+            yield _pair_batch(*_agreeing_rows(np.arange(n), np.arange(n, 2 * n), size, np.concatenate(slots)), node)
 
     side = lambda end: classes.select(*(F.col(c).alias(f"{c}_{end}" if c != "node" else end) for c in ("node", "size", "signature")))
     signed = pairs.join(side("a"), "a").join(side("b"), "b")
