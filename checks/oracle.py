@@ -231,8 +231,34 @@ _CLOCK_START = """keyindate + to_hours(CAST(split_part(dialysisstart, ':', 1) AS
                     + to_minutes(CAST(split_part(dialysisstart, ':', 2) AS INTEGER)) AS dialysisstart"""
 
 
+# A stream's watermark an hour behind the latest reading, in whole milliseconds.
+_WATERMARK = "(SELECT (epoch_us(max(datatime)) // 1000) * 1000 - 3600000000 FROM telemetry)"
+
+
+def _plain_bins(minutes: int = 15, closed: bool = False) -> str:
+    """Bins by subject and time, without sessions."""
+    limit = f"HAVING max(epoch_us({_bin(minutes)})) + {minutes} * 60000000 <= {_WATERMARK}" if closed else ""
+    shown = ", ".join(r9(c) for c in ("avg_sbp", "stddev_sbp", "avg_conductivity"))
+    return _inputs(f"""SELECT pid, time_bin, readings, min_sbp, {shown} FROM (
+        SELECT pid, {_bin(minutes)} AS time_bin, {_STATISTICS}
+        FROM telemetry WHERE datatime IS NOT NULL GROUP BY 1, 2 {limit})""")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        # Streams and stored states
+        "stream_bins": _plain_bins(closed=True),
+        "stream_sessions": f"""{sessions(serving=True)}
+            SELECT pid, session_id, min(datatime) AS session_start_ts, max(datatime) AS last_ts, count(*) AS readings,
+                   round(avg(sbp), 9) AS avg_sbp, min(sbp) AS min_sbp
+            FROM sessionized WHERE datatime IS NOT NULL GROUP BY pid, session_id
+            HAVING epoch_us(max(datatime)) + 12 * 3600000000 <= {_WATERMARK}""",
+        "stream_late_bins": _plain_bins(),
+        "agg_rolled_bins": _plain_bins(360),
+        "sink_sessionized_runs": _sessions(_SESSIONIZED),
+        "sink_clustered_sessions": _sessions(
+            f"SELECT {READING_R9}, session_id FROM sessionized WHERE session_id IN ('8_1', '1_2', '5_3')"
+        ),
         # End to end
         "sessionize": _sessions(_SESSIONIZED),
         "sessionize_serving": f"{sessions(serving=True)} {_SESSIONIZED}",

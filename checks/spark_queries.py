@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from checks.inputs import demographics, plain, registration, scored_documents, table, telemetry
 from haemoloom.functions import clock, parsing
 from haemoloom.functions import features as fn
-from haemoloom.operators import bins, cleaning, enrich, metrics, risk, sessions, temporal
-from haemoloom.plans import classifier, features, tables
+from haemoloom.operators import bins, cleaning, enrich, metrics, moments, risk, sessions, temporal
+from haemoloom.plans import classifier, features, incremental, tables
 from haemoloom.plans.risk import risk_from_csv
 from haemoloom.runtime import scratch_path
 from haemoloom.schemas import (
@@ -24,6 +24,7 @@ from haemoloom.schemas import (
 from haemoloom.settings import SERVING, Settings
 from haemoloom.sources import csv, jsonl, payload, session_csv
 from haemoloom.sources import tables as stored
+from haemoloom.streaming import late, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -452,8 +453,13 @@ def sort_session_time(spark, sf_dir):
     return plain(sessions.session_readings(_placed(spark, sf_dir), _SESSION).select("pid", "datatime", "sbp"))
 
 
-# The windows order their own rows; no sort of the whole table comes before them.
-sort_for_windows = _windowed("lag_1_avg_sbp", lambda: temporal.previous_bin("avg_sbp"), "avg_sbp")
+def sort_for_windows(spark, sf_dir):
+    """Lags over a table that is stored in buckets by session, and in order."""
+    rows = tables.create_bucketed_sessions(
+        _placed(spark, sf_dir), _table_name("bucketed_sessions"), 16, scratch_path(spark, "bucketed-sessions")
+    )
+    binned = bins.session_bins(rows, _DEFAULT)
+    return plain(binned.select(*_BIN_KEY, "avg_sbp", temporal.previous_bin("avg_sbp").alias("lag_1_avg_sbp")))
 
 
 def limit_head(spark, sf_dir):
@@ -461,6 +467,72 @@ def limit_head(spark, sf_dir):
     return plain(rows.orderBy("pid", "datatime").limit(5))
 
 
+# --- streams and stored states ----------------------------------------------
+
+
+def _arriving(spark, sf_dir, name, when=None):
+    """A stream over telemetry files in a folder of their own, and the folder."""
+    path = scratch_path(spark, name)
+    readings = telemetry(spark, sf_dir)
+    stored.write_parquet(readings if when is None else readings.filter(when), path)
+    return windows.reading_stream(spark, path, readings.schema), path
+
+
+def _closed(spark, sf_dir, name, closed):
+    readings, path = _arriving(spark, sf_dir, name)
+    rows = closed(readings)
+    windows.append_available(rows, f"{path}-closed", f"{path}-checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{path}-closed")
+
+
+def stream_bins(spark, sf_dir):
+    rows = _closed(spark, sf_dir, "stream-bins", windows.closed_bins)
+    return plain(rows.select("pid", "time_bin", "readings", "avg_sbp", "min_sbp", "stddev_sbp", "avg_conductivity"))
+
+
+def stream_sessions(spark, sf_dir):
+    rows = windows.numbered_sessions(_closed(spark, sf_dir, "stream-sessions", windows.closed_sessions))
+    return plain(rows.select("pid", "session_id", "session_start_ts", "last_ts", "readings", "avg_sbp", "min_sbp"))
+
+
+def stream_late_bins(spark, sf_dir):
+    """A tenth of all readings arrives in files of its own, after the bins were first written."""
+    belated = F.col("measuretime") % 10 == 0
+    readings, path = _arriving(spark, sf_dir, "stream-late", ~belated)
+    run = lambda: late.refresh_bins(readings, f"{path}-states", f"{path}-checkpoint")
+    run()
+    telemetry(spark, sf_dir).filter(belated).write.mode("append").parquet(path)
+    run()
+    rows = late.read_bins(spark, f"{path}-states")
+    return plain(rows.select("pid", "time_bin", "readings", "avg_sbp", "min_sbp", "stddev_sbp", "avg_conductivity"))
+
+
+def agg_rolled_bins(spark, sf_dir):
+    """Six-hour bins from stored quarter-hour states."""
+    states = _stored(spark, moments.bin_states(telemetry(spark, sf_dir), _DEFAULT.interval), "bin-states")
+    rows = moments.state_statistics(moments.rolled_up(states, 360))
+    return plain(rows.select("pid", "time_bin", "readings", "avg_sbp", "min_sbp", "stddev_sbp", "avg_conductivity"))
+
+
+def sink_sessionized_runs(spark, sf_dir):
+    """The sessionized table in three runs: ten days, ten days and the rest."""
+    folder = scratch_path(spark, "sessionized-runs")
+    readings = telemetry(spark, sf_dir)
+    begin = readings.agg(F.min(F.to_date("datatime"))).first()[0]
+    part = F.least(F.floor(F.datediff("datatime", F.lit(begin)) / 10), F.lit(2))
+    for run in range(3):
+        incremental.append_readings(readings.filter(part == run), folder, run)
+    return plain(incremental.sessionized_so_far(spark, folder))
+
+
+def sink_clustered_sessions(spark, sf_dir):
+    """Chosen sessions read from files that are clustered by session."""
+    path = scratch_path(spark, "clustered-sessions")
+    tables.write_clustered_sessions(_placed(spark, sf_dir), path)
+    rows = spark.read.parquet(path)
+    return plain(rows.filter(F.col("session_id").isin("8_1", "1_2", "5_3")).select(*SESSION_READING_COLUMNS, "session_id"))
+
+
 # --- scalar functions -------------------------------------------------------
 
 
@@ -741,6 +813,7 @@ agg_time_bins agg_avg agg_min agg_stddev agg_any_value agg_session_risk agg_row_
 win_gap win_new_session win_session_ordinal win_session_start win_lag_sbp win_lag_uf win_trend_sbp
 win_trend_conductivity win_rolling_avg win_rolling_max win_rolling_stddev win_label_lookahead
 sort_session_time sort_for_windows limit_head
+stream_bins stream_sessions stream_late_bins agg_rolled_bins sink_sessionized_runs sink_clustered_sessions
 fn_epoch_to_ts fn_cast fn_date fn_time_bin fn_age fn_vintage fn_fluid_to_remove fn_minutes_into_session
 fn_hour_gap fn_session_id fn_split fn_coalesce fn_if fn_case norm_time_columns fn_date_format
 fn_starts_with fn_substr fn_add_day fn_tz_align fn_round

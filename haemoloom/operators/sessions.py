@@ -102,9 +102,12 @@ def attach_sessions(readings: DataFrame, settings: Settings = Settings()) -> Dat
     ``opening`` is true on the timed readings at the very time a session
     begins: one reading, or several that share that time.
     """
-    slots = session_slots(readings.select("pid", "datatime"), settings).select(
-        "pid", "slot", "first_ts", "opens", "session_ordinal", "session_id", "session_start_ts"
-    )
+    return placed_readings(readings, session_slots(readings.select("pid", "datatime"), settings), settings)
+
+
+def placed_readings(readings: DataFrame, slots: DataFrame, settings: Settings) -> DataFrame:
+    """``readings`` with the sessions of their ``slots``, and ``opening``."""
+    slots = slots.select("pid", "slot", "first_ts", "opens", "session_ordinal", "session_id", "session_start_ts")
     placed = join_slots(readings.withColumn("slot", slot_of(settings.longest_pause_us + 1)), slots)
     # A difference, so that it stays a filter on joined rows and no join key:
     # readings are then shuffled once, whatever is asked about the opening.
@@ -166,7 +169,11 @@ def sessionize(readings: DataFrame, settings: Settings = Settings()) -> DataFram
     pass through unchanged; only those at an opening time are compared.
     """
     columns = [c for c in SESSION_READING_COLUMNS if c in readings.columns]
-    placed = attach_sessions(with_timestamp(readings).select(columns), settings)
+    return opening_flags(attach_sessions(with_timestamp(readings).select(columns), settings), columns)
+
+
+def opening_flags(placed: DataFrame, columns: list[str]) -> DataFrame:
+    """Readings with sessions and ``is_new_session``, which one reading at each opening has."""
     output = [*columns, "is_new_session", "session_id", "session_start_ts"]
 
     # A reading without a time always begins a session.
