@@ -16,6 +16,9 @@ from haemoloom.llm.token_files import END_ID, VOCABULARY
 
 SEQUENCE_TOKENS = 4096
 
+#: Tasks whose pieces are numbered together.
+PARTS_TOGETHER = 1000
+
 _SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, part int, place long, ids array<int>"
 )
@@ -68,12 +71,18 @@ def pack(
         F.col(id_col).cast("long").alias("doc_id"), F.spark_partition_id().alias("part"), text_or_empty(text_col).alias("text")
     )
     pieces = stored(rows.mapInArrow(_pieces(vocabulary, end_id, sequence_tokens), _SCHEMA), "pieces")
-    # One count per bucket and task, so the running sum and what is broadcast have a
-    # dozen rows per task; ids are not shuffled.
+    # One count per bucket and task. They are numbered in groups of tasks: first the
+    # groups among one another, then the tasks inside theirs, so no task orders all
+    # counts. Pieces are joined to them as their sizes suggest.
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc("length"), "part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    return pieces.join(F.broadcast(firsts), ["length", "part"]).select(
+    counts = stored(counts.withColumn("group", F.call_function("div", F.col("part"), F.lit(PARTS_TOGETHER))), "piece-counts")
+    before = lambda window: F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = counts.groupBy("length", "group").agg(F.sum("n").alias("n"))
+    groups = groups.select("length", "group", before(Window.orderBy(F.desc("length"), "group")).alias("of_groups"))
+    inside = before(Window.partitionBy("length", "group").orderBy("part"))
+    firsts = counts.withColumn("of_parts", inside).join(groups, ["length", "group"])
+    firsts = firsts.select("length", "part", (F.col("of_groups") + F.col("of_parts")).alias("before"))
+    return pieces.join(firsts, ["length", "part"]).select(
         "doc_id",
         "start",
         "length",
