@@ -107,6 +107,57 @@ def test_words_glued_to_others_are_counted(spark):
     assert got[10] == "" and got[11] == "id:7:17"
 
 
+def test_chains_are_followed_to_their_end(spark):
+    """Known entities alone make a context no pattern; with what the context before it finds, they do."""
+    rows = [(1000 + i, f"x c0: user{i}@mail.example.com y", None, None, None) for i in range(6)]
+    for level in range(6):
+        rows += [(2000 + 10 * level + i, f"x c{level + 1}: user{i}@mail.example.com y", None, None, None) for i in range(5)]
+        for i in range(4):
+            value = f"ID-{level}-00{i}7"
+            rows.append((100 * level + i, f"x c{level}: {value} y", None, None, None))
+            rows.append((100 * level + 10 + i, f"x c{level + 1}: {value} y", None, None, None))
+    got = {r.doc_id: r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect()}
+    assert [d for d in got if d < 1000 and got[d] != "id:6:15"] == []
+
+
+def test_long_identifiers_and_contexts_are_whole(spark):
+    long, word = "AB1" + "c2" * 100, "w" * 200
+    rows = [(i, f"x badge: user{i}@mail.example.com y {word}a: user{i}@mail.example.com", None, None, None) for i in range(6)]
+    rows += [(10, f"x badge: {long} y", None, None, None), (11, f"x {word}a: AB12-3456 y", None, None, None)]
+    rows += [(12, f"x v{word}a: AB12-3457 y", None, None, None)]
+    got = {r.doc_id: r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect()}
+    assert got[10] == f"id:9:{9 + len(long)}" and got[11] == f"id:{2 + len(word) + 3}:{2 + len(word) + 12}" and got[12] == ""
+
+
+def test_instances_that_mostly_follow_other_words_are_rejected(spark):
+    rows = [(i, f"x badge: user{i}@mail.example.com y", None, None, None) for i in range(6)]
+    rows += [(10, "x badge: 2024-11-05 y", None, None, None), (11, "x badge: AB12-3456 y", None, None, None)]
+    rows += [(20 + i, f"{prose(i, 3)} on 2024-11-05 y", None, None, None) for i in range(9)]
+    got = {r.doc_id: r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect()}
+    assert got[10] == "" and got[11] == "id:9:18"
+
+
+def test_keys_are_seeds(spark):
+    rows = [(i, f'x token = "{hashlib.sha1(bytes([i])).hexdigest()}" y', None, None, None) for i in range(4)]
+    rows += [(10, 'x token = "AB12-3456" y', None, None, None)]
+    got = {r.doc_id: r.spans for r in span_texts(find_personal_data(documents(spark, rows))).collect()}
+    assert got[0] == "id:11:51" and got[10] == "id:11:20"
+    none = span_texts(find_personal_data(documents(spark, rows), seed_forms=()))
+    assert {r.spans for r in none.collect()} == {""}
+
+
+def test_given_tables_hold_identifiers_after_learnt_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = [r for r in span_texts(find_personal_data(docs)).collect() if "id:" in r.spans]
+    assert found
+
+
+def test_very_many_matches(spark):
+    text = " ".join(f"u{i}@mail.example.com {i}-555" for i in range(20_000))
+    got = span_texts(find_personal_data(documents(spark, [(1, text, None, None, None)]))).first()
+    assert got.n_email == 20_000 and got.base_sha256 == expected(1, text)[5]
+
+
 def test_redaction(spark):
     docs = documents(spark, extra=True)
     clean = redact(docs)
