@@ -39,6 +39,9 @@ REGION = 256
 #: Documents of a region in which all pairs are candidates from the start.
 SMALL = 8
 
+#: Documents of a component that a document of a crowd's region is compared with first.
+CLOSEST = 8
+
 #: Candidates that a mean is drawn towards the least with.
 FEW = 10
 
@@ -146,11 +149,13 @@ def _pair_batch(left, right, agreement, node) -> pa.RecordBatch:
 
 
 def _best_of_roots(row, root, agreement) -> np.ndarray:
-    """Places of the pairs in which a row agrees most with a component."""
+    """Places of the pairs in which a row agrees most with a component, ``CLOSEST`` of each."""
     order = np.lexsort((-agreement, root, row))
     row, root = row[order], root[order]
-    new = (row[1:] != row[:-1]) | (root[1:] != root[:-1])
-    return order[np.append(True, new)] if len(order) else order
+    new = np.append(True, (row[1:] != row[:-1]) | (root[1:] != root[:-1]))[: len(order)]
+    places = np.arange(len(order))
+    first = np.maximum.accumulate(np.where(new, places, 0))
+    return order[places - first < CLOSEST]
 
 
 def _first_candidates(batches):
@@ -376,21 +381,23 @@ def _crowd_links(regions: DataFrame, sets: DataFrame, classes: DataFrame, roots:
     Of two sets that are similar enough, the smaller has one of its rarest shingles,
     a seventh of all, among the rarest quarter of the other's, in any order that is
     the same for both. So documents meet on shingles that are rare in the crowds,
-    where they are of different components and similar size. What a rare shingle's
-    documents have to be compared with is dealt in blocks.
+    where they are of different components and similar size, and where what either
+    has after the shingle would be enough: at the first that they share it is. What a
+    rare shingle's documents have to be compared with is dealt in blocks.
     """
     members = regions.filter("crowd IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = members.groupBy("crowd").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("crowd")
     apart = stored(members.join(mixed, "crowd").select("node", "root").distinct(), "near-crowds")
     held = stored(apart.join(sets, "node"), "near-crowd-sets")
-    rare = stored(held.mapInArrow(_rare_shingles(_counters(held)), "shingle long, node long, root long, size long, seventh boolean"), "near-rare")
+    rare = stored(held.mapInArrow(_rare_shingles(_counters(held)), "shingle long, node long, root long, size long, seventh boolean, rest long"), "near-rare")
     blocks = F.ceil(F.count_if("seventh") / TOGETHER)
     met = rare.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), blocks.alias("blocks"))
     rare = rare.join(met.filter("low != high AND blocks > 0").select("shingle", "blocks"), "shingle")
-    small = rare.filter("seventh").select("shingle", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.struct("size", "node").alias("one"), F.col("root").alias("root_one"))
-    large = rare.select("shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.struct("size", "node").alias("two"), F.col("root").alias("root_two"))
+    small = rare.filter("seventh").select("shingle", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.struct("size", "node", "rest").alias("one"), F.col("root").alias("root_one"))
+    large = rare.select("shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.struct("size", "node", "rest").alias("two"), F.col("root").alias("root_two"))
     near = (F.col("one") < F.col("two")) & (100 * F.col("one.size") >= THRESHOLD * F.col("two.size")) & (F.col("root_one") != F.col("root_two"))
-    pairs = small.join(large, ["shingle", "block"]).filter(near)
+    enough = (THRESHOLD + 100) * F.least("one.rest", "two.rest") >= THRESHOLD * (F.col("one.size") + F.col("two.size"))
+    pairs = small.join(large, ["shingle", "block"]).filter(near & enough)
     pairs = pairs.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
     return _confirmed(_agreeing(pairs, classes).select("a", "b"), sets)
 
@@ -418,7 +425,11 @@ def _counters(held: DataFrame) -> np.ndarray:
 
 
 def _rare_shingles(counters: np.ndarray):
-    """The rarest quarter of each set's shingles, rarest first; ``seventh`` marks those of the rarest seventh."""
+    """The rarest quarter of each set's shingles, rarest first.
+
+    ``seventh`` marks those of the rarest seventh, and ``rest`` counts a shingle and
+    those after it.
+    """
 
     def choose(batches):
         for batch in batches:
@@ -428,12 +439,12 @@ def _rare_shingles(counters: np.ndarray):
                 n = len(names)
                 order = np.lexsort((names, counters[_counter(names)]))[: n - (THRESHOLD * n + 99) // 100 + 1]
                 seventh = n - (2 * THRESHOLD * n + THRESHOLD + 99) // (THRESHOLD + 100) + 1
-                rows.append((names[order].view(np.int64), node, root, n, np.arange(len(order)) < seventh))
+                rows.append((names[order].view(np.int64), node, root, n, np.arange(len(order)) < seventh, n - np.arange(len(order))))
             if rows:
                 sizes = [len(r[0]) for r in rows]
                 columns = [np.concatenate([r[0] for r in rows]), *(np.repeat([r[i] for r in rows], sizes) for i in (1, 2, 3))]
-                columns.append(np.concatenate([r[4] for r in rows]))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "node", "root", "size", "seventh"])
+                columns += [np.concatenate([r[i] for r in rows]) for i in (4, 5)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "node", "root", "size", "seventh", "rest"])
 
     return choose
 

@@ -165,7 +165,9 @@ def test_rarest_shingles_of_similar_sets_meet():
         batch = pa.RecordBatch.from_pydict({"node": [1, 2], "root": [1, 2], "names": [one.tobytes(), two.tobytes()]})
         rows = pa.Table.from_batches(list(near_dedup._rare_shingles(counters)([batch]))).to_pylist()
         low, high = (1, 2) if (len(one), 1) < (len(two), 2) else (2, 1)
-        assert {r["shingle"] for r in rows if r["node"] == low and r["seventh"]} & {r["shingle"] for r in rows if r["node"] == high}
+        small = {r["shingle"]: r["rest"] for r in rows if r["node"] == low and r["seventh"]}
+        large = {r["shingle"]: r["rest"] for r in rows if r["node"] == high}
+        assert any(175 * min(small[x], large[x]) >= 75 * (len(one) + len(two)) for x in small.keys() & large.keys())
 
 
 @pytest.mark.parametrize("extra", [False, True])
