@@ -6,8 +6,8 @@ and cuts the order into regions: where few documents share a prefix a short one
 region, where many do it is followed to the depth at which few do. In a region the
 neighbours with the longest common prefix and the first document of that prefix are
 candidates; candidates are confirmed on the full sets and joined to components. Then
-all documents of a region that are in different components are compared. Where a
-prefix is shared by more documents than a region holds, what is still in different
+documents of a region are compared with the closest that are in other components.
+Where a prefix is shared by more than a few documents, what is still in different
 components is joined on the shingles that are rare among them, which is exact.
 """
 
@@ -39,7 +39,7 @@ REGION = 256
 #: Documents of a region in which all pairs are candidates from the start.
 SMALL = 8
 
-#: Documents of a component that a document of a crowd's region is compared with first.
+#: Documents of a region that a document is compared with before the join on rare shingles.
 CLOSEST = 8
 
 #: Candidates that a mean is drawn towards the least with.
@@ -113,13 +113,13 @@ def _sign(batches):
 
 
 def _whole_regions(batches):
-    """Arrays (region, tree, node, crowded, root, size, slots) of the rows of whole regions, whatever batches they come in."""
+    """Arrays (region, tree, node, root, size, slots) of the rows of whole regions, whatever batches they come in."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-        new.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), ">u2").astype(np.uint16).reshape(-1, _SLOTS))
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        new.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u2").astype(np.uint16).reshape(-1, _SLOTS))
         held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
         # The last region may go on in the next batch.
         end = int(np.searchsorted(held[0], held[0][-1]))
@@ -148,11 +148,11 @@ def _pair_batch(left, right, agreement, node) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "agreement"])
 
 
-def _best_of_roots(row, root, agreement) -> np.ndarray:
-    """Places of the pairs in which a row agrees most with a component, ``CLOSEST`` of each."""
-    order = np.lexsort((-agreement, root, row))
-    row, root = row[order], root[order]
-    new = np.append(True, (row[1:] != row[:-1]) | (root[1:] != root[:-1]))[: len(order)]
+def _closest(row, agreement) -> np.ndarray:
+    """Places of the pairs in which a row agrees most, ``CLOSEST`` for each row."""
+    order = np.lexsort((-agreement, row))
+    row = row[order]
+    new = np.append(True, row[1:] != row[:-1])[: len(order)]
     places = np.arange(len(order))
     first = np.maximum.accumulate(np.where(new, places, 0))
     return order[places - first < CLOSEST]
@@ -160,7 +160,7 @@ def _best_of_roots(row, root, agreement) -> np.ndarray:
 
 def _first_candidates(batches):
     """Neighbours in the order of a region, and each row with the first of its longest shared prefix."""
-    for region, tree, node, _, _, size, slots in _whole_regions(batches):
+    for region, tree, node, _, size, slots in _whole_regions(batches):
         n = len(region)
         rows = np.arange(n)
         keys = slots.reshape(n, TREES, DEPTH)[rows, tree]
@@ -187,21 +187,18 @@ def _first_candidates(batches):
 
 
 def _second_candidates(batches):
-    """Pairs of a region whose ends are in different components.
+    """Pairs of a region whose ends are in different components, and in which one agrees most.
 
-    All of them where the region is a whole prefix. In a crowd, which is joined on
-    rare shingles in the end, those in which a document agrees most with a component.
+    All others are left to the join on rare shingles.
     """
-    for region, _, node, crowded, root, size, slots in _whole_regions(batches):
+    for region, _, node, root, size, slots in _whole_regions(batches):
         starts = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
         for start, end in zip(starts, np.append(starts[1:], len(region))):
             roots = root[start:end]
             left, right = np.nonzero(np.triu(roots[:, None] != roots[None, :]))
             left, right, agreement = _agreeing_rows(start + left, start + right, size, slots)
-            if crowded[start]:
-                best = [_best_of_roots(left, root[right], agreement), _best_of_roots(right, root[left], agreement)]
-                best = np.unique(np.concatenate(best))
-                left, right, agreement = left[best], right[best], agreement[best]
+            best = np.unique(np.concatenate([_closest(left, agreement), _closest(right, agreement)]))
+            left, right, agreement = left[best], right[best], agreement[best]
             yield _pair_batch(left, right, agreement, node)
 
 
@@ -254,12 +251,12 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _in_regions(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (node, tree, key, region, crowded, root) with size and signature, each region in order and in one task."""
+    """Rows (node, tree, key, region, root) with size and signature, each region in order and in one task."""
     spark = classes.sparkSession
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // SORTED_TOGETHER))
     signed = rows.join(classes.select("node", "size", "signature"), "node")
     dealt = signed.repartition(parts, "region").sortWithinPartitions("region", "tree", "key", "node")
-    return dealt.select("region", "tree", "node", "crowded", "root", "size", "signature")
+    return dealt.select("region", "tree", "node", "root", "size", "signature")
 
 
 _PAIRS = "a long, b long, agreement double"
@@ -267,7 +264,7 @@ _PAIRS = "a long, b long, agreement double"
 
 def _forest_pairs(classes: DataFrame, regions: DataFrame, leaders: DataFrame) -> DataFrame:
     """``a``, ``b`` and ``agreement`` of the first candidates, stored."""
-    alone = regions.select("node", "tree", "key", "region", F.lit(False).alias("crowded"), F.col("node").alias("root"))
+    alone = regions.select("node", "tree", "key", "region", F.col("node").alias("root"))
     rows = _in_regions(alone, classes)
     pairs = rows.mapInArrow(_first_candidates, _PAIRS).union(_agreeing(leaders, classes))
     return stored(pairs.groupBy("a", "b").agg(F.max("agreement").alias("agreement")), "near-pairs")
@@ -277,8 +274,7 @@ def _pairs_apart(classes: DataFrame, regions: DataFrame, roots: DataFrame) -> Da
     """``a`` and ``b`` of the candidates of regions that are in different components."""
     rows = regions.filter(F.col("n") > SMALL).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rows.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("region")
-    crowded = F.col("crowd").isNotNull().alias("crowded")
-    rows = stored(rows.join(mixed, "region").select("node", "tree", "key", "region", crowded, "root"), "near-mixed")
+    rows = stored(rows.join(mixed, "region").select("node", "tree", "key", "region", "root"), "near-mixed")
     return _in_regions(rows, classes).mapInArrow(_second_candidates, _PAIRS).select("a", "b").distinct()
 
 
@@ -378,6 +374,8 @@ def _first_pairs(pairs: DataFrame, scores: DataFrame) -> DataFrame:
 def _crowd_links(regions: DataFrame, sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """All links between documents of crowds that are in different components, by the full sets.
 
+    A crowd is a shared prefix in which not all pairs were candidates.
+
     Of two sets that are similar enough, the smaller has one of its rarest shingles,
     a seventh of all, among the rarest quarter of the other's, in any order that is
     the same for both. So documents meet on shingles that are rare in the crowds,
@@ -385,7 +383,8 @@ def _crowd_links(regions: DataFrame, sets: DataFrame, classes: DataFrame, roots:
     has after the shingle would be enough: at the first that they share it is. What a
     rare shingle's documents have to be compared with is dealt in blocks.
     """
-    members = regions.filter("crowd IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = regions.filter(F.col("n") > SMALL).withColumn("crowd", F.coalesce("crowd", "region"))
+    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = members.groupBy("crowd").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("crowd")
     apart = stored(members.join(mixed, "crowd").select("node", "root").distinct(), "near-crowds")
     held = stored(apart.join(sets, "node"), "near-crowd-sets")
@@ -453,7 +452,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, classes: DataFrame, regions: Data
     """``node`` and ``root`` of all linked nodes.
 
     First each node's closest and most central candidates are confirmed, then the
-    candidates that are not in one component by that, then all other pairs of their
+    candidates that are not in one component by that, then the closest others of their
     regions that are not. What is still apart in a crowd is joined as a whole. Pairs
     inside a component are never needed, so leaving them out loses no link between
     components.
