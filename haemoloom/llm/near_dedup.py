@@ -40,7 +40,7 @@ REGION = 256
 SMALL = 8
 
 #: Documents of a region that a document is compared with before the join on rare shingles.
-CLOSEST = 8
+CLOSEST = 3
 
 #: Candidates that a mean is drawn towards the least with.
 FEW = 10
