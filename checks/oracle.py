@@ -465,4 +465,10 @@ def oracle_sql() -> dict[str, str]:
         "ml_predict": _features("SELECT session_id, time_bin, true AS sums_to_one, true AS label_is_larger FROM features"),
         "ml_export": _features("SELECT session_id, time_bin, true AS same_score FROM features"),
         "ml_csv_to_risk": _features("SELECT DISTINCT session_id, true AS agrees FROM features"),
+        "ml_boosted_train": _features(
+            "SELECT round(count(*) / 4.0, 6) AS root_cover, true AS covers_add FROM features WHERE dataset_split = 'TRAIN' AND label IN (0, 1)"
+        ),
+        "ml_boosted_predict": _features("SELECT session_id, time_bin, true AS sums_to_one, true AS label_is_larger FROM features"),
+        "ml_attributions": _features("SELECT session_id, time_bin, true AS adds_up FROM features"),
+        "ml_global_attribution": f"SELECT unnest({MODEL_FEATURES!r}) AS feature, true AS is_mean",
     }

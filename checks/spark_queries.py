@@ -9,7 +9,7 @@ from checks.inputs import demographics, plain, registration, scored_documents, t
 from haemoloom.functions import clock, parsing
 from haemoloom.functions import features as fn
 from haemoloom.operators import bins, cleaning, enrich, metrics, moments, risk, sessions, temporal
-from haemoloom.plans import classifier, features, incremental, tables
+from haemoloom.plans import boosting, classifier, features, incremental, tables
 from haemoloom.plans.risk import risk_from_csv
 from haemoloom.runtime import scratch_path
 from haemoloom.schemas import (
@@ -801,6 +801,58 @@ def ml_csv_to_risk(spark, sf_dir):
     )
 
 
+def _boosted(spark, sf_dir):
+    """The stored features of ``sf_dir`` and a boosted model table read back from its file, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "boosted")
+    if key not in _fitted:
+        rows = _stored(spark, _features(spark, sf_dir), "boosted_features")
+        path = scratch_path(spark, "boosted_model")
+        boosting.export_boosted(boosting.train_boosted(rows), path)
+        _fitted[key] = (rows, boosting.load_boosted(spark, path))
+    return _fitted[key]
+
+
+def ml_boosted_train(spark, sf_dir):
+    """Cover of the first root, a quarter of the rows when classes weigh alike, and whether covers of children add up."""
+    _, model = _boosted(spark, sf_dir)
+    ends = model.select("tree", F.floor((F.col("node") - 1) / 2).alias("above"), F.col("cover").alias("part")).filter("above >= 0")
+    parts = ends.groupBy("tree", "above").agg(F.sum("part").alias("parts"))
+    splits = model.filter("input IS NOT NULL")
+    both = splits.join(parts, (splits["tree"] == parts["tree"]) & (splits["node"] == parts["above"]), "left")
+    adds = both.agg(F.coalesce(F.bool_and(F.abs(F.col("cover") - F.coalesce("parts", F.lit(0.0))) < 1e-6), F.lit(True)))
+    root = model.filter("tree = 0 AND node = 0")
+    return root.select(F.round("cover", 6).alias("root_cover"), adds.scalar().alias("covers_add"))
+
+
+def ml_boosted_predict(spark, sf_dir):
+    """Each row scored from the model table, and whether its probabilities and its label belong together."""
+    rows, model = _boosted(spark, sf_dir)
+    zero, one = F.col("probability_0"), F.col("probability_1")
+    return plain(
+        boosting.score_boosted(model, rows).select(
+            "session_id",
+            "time_bin",
+            ((F.abs(zero + one - 1) < 1e-9) & one.between(0, 1)).alias("sums_to_one"),
+            (F.col("predicted_label") == F.when(one > zero, "1").otherwise("0")).alias("label_is_larger"),
+        )
+    )
+
+
+def ml_attributions(spark, sf_dir):
+    """Each row, and whether what its inputs contribute adds up to the margin that the expressions give."""
+    rows, model = _boosted(spark, sf_dir)
+    scored = boosting.with_margin(model, rows, boosting.numeric_inputs(rows), "margin")
+    found = boosting.contributions(model, scored, keep=("session_id", "time_bin", "margin"))
+    whole = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda total, x: total + x)
+    return plain(found.select("session_id", "time_bin", (F.abs(whole - F.col("margin")) < 1e-9).alias("adds_up")))
+
+
+def ml_global_attribution(spark, sf_dir):
+    """The model's inputs, and whether each has a mean absolute contribution."""
+    rows, model = _boosted(spark, sf_dir)
+    return boosting.global_attribution(model, rows).select("feature", (F.col("attribution") >= 0).alias("is_mean"))
+
+
 _NAMES = """
 sessionize sessionize_serving features_full features_coarse features_wide_bins features_serving
 src_csv_typed src_csv_limit src_csv_glob clean_demographics clean_registration clean_telemetry
@@ -818,6 +870,7 @@ fn_epoch_to_ts fn_cast fn_date fn_time_bin fn_age fn_vintage fn_fluid_to_remove
 fn_hour_gap fn_session_id fn_split fn_coalesce fn_if fn_case norm_time_columns fn_date_format
 fn_starts_with fn_substr fn_add_day fn_tz_align fn_round
 ml_train ml_explain ml_evaluate ml_evaluate_model ml_predict ml_export ml_csv_to_risk
+ml_boosted_train ml_boosted_predict ml_attributions ml_global_attribution
 """.split()
 
 
