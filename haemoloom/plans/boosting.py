@@ -60,8 +60,13 @@ def _edges(rows: DataFrame, width: int, bins: int) -> list[list[float]]:
     return [sorted(set(edges or [])) for edges in found]
 
 
+def _constants(values: list, kind: str) -> Column:
+    """An array of constants, which takes one call to build and is folded once."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def _bin(value: Column, edges: list[float]) -> Column:
-    under = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < value)) if edges else F.lit(0)
+    under = F.size(F.filter(_constants(edges, "double"), lambda e: e < value)) if edges else F.lit(0)
     return F.when(value.isNull(), _MISSING).otherwise(under).cast("smallint")
 
 
@@ -72,8 +77,8 @@ def _reached(splits: dict[int, tuple], levels: int) -> Column:
     """
     size = 2 ** (levels + 1)
     inputs, lasts, missing_left = (
-        F.array(*[F.lit(splits[i][k]) if i in splits else F.lit(none) for i in range(size)])
-        for k, none in enumerate((-1, _MISSING, False))
+        _constants([splits[i][k] if i in splits else none for i in range(size)], kind)
+        for k, (none, kind) in enumerate(((-1, "int"), (_MISSING, "int"), (False, "boolean")))
     )
 
     def step(at: Column, _: Column) -> Column:
@@ -154,7 +159,7 @@ def fit_boosted(
         grown = [0]
         for level in range(depth):
             node = _reached(splits, depth)
-            growing = F.array(*[F.lit(i in grown) for i in range(2**depth)])
+            growing = _constants([i in grown for i in range(2**depth)], "boolean")
             cells = steps.select(node.alias("node"), "g", "h", "b").filter(F.get(growing, F.col("node")))
             cells = cells.select("node", "g", "h", F.posexplode("b").alias("j", "bin")).groupBy("node", "j", "bin")
             cells = cells.agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
@@ -176,7 +181,7 @@ def fit_boosted(
             else:
                 values[at] = -rate * g / (h + smooth)
                 made.append(Node(tree, at, None, None, None, values[at], h))
-        gained = F.get(F.array(*map(F.lit, values)), _reached(splits, depth))
+        gained = F.get(_constants(values, "double"), _reached(splits, depth))
         rows = _stored(rows.withColumn("margin", F.col("margin") + gained), "boost-bins")
     return spark.createDataFrame(made, MODEL_SCHEMA)
 
