@@ -31,17 +31,19 @@ def read_csv_typed(
     order_by: str | None = None,
     files: str | None = None,
     integers_required: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read CSV and cast the columns that ``schema`` names.
 
     Text that does not fit its type raises with the column's name. Columns
     absent from the file are skipped, and unnamed ones stay text. A missing
     integer raises too, unless ``integers_required`` is off. ``limit`` keeps the
-    first rows, by ``order_by`` if given.
+    first rows, by ``order_by`` if given. ``multi_line`` reads line breaks in quotes, and
+    then a file is not split.
     """
     if isinstance(schema, T.StructType):
         schema = {f.name: f.dataType.simpleString() for f in schema}
-    text = read_csv_text(spark, path, files)
+    text = read_csv_text(spark, path, files, multi_line)
     typed = text.select(*[
         strict_cast(c, schema[c], integers_required).alias(c) if c in schema else F.col(c) for c in text.columns
     ])
@@ -50,6 +52,8 @@ def read_csv_typed(
     return (typed.orderBy(order_by) if order_by else typed).limit(limit)
 
 
-def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType | dict[str, str]) -> DataFrame:
+def read_csv_folder(
+    spark: SparkSession, folder: str, schema: T.StructType | dict[str, str], multi_line: bool = False
+) -> DataFrame:
     """Every CSV file of a folder, whichever case its suffix has."""
-    return read_csv_typed(spark, folder, schema, files=CSV_FILES)
+    return read_csv_typed(spark, folder, schema, files=CSV_FILES, multi_line=multi_line)

@@ -242,3 +242,9 @@ def test_setup_from_csv(spark, tmp_path):
     assert loaded["telemetry"].select(F.year("datatime")).first()[0] == 2024
     assert setup.read_raw(spark, str(raw), "telemetry", limit=0).count() == 0
     spark.sql("DROP DATABASE raw_db CASCADE")
+
+
+def test_typed_csv_with_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "a.CSV").write_text('pid,note\n1,"one\ntwo"\n2,three\n')
+    rows = csv.read_csv_folder(spark, str(tmp_path), {"pid": "bigint"}, multi_line=True).collect()
+    assert sorted(map(tuple, rows)) == [(1, "one\ntwo"), (2, "three")]
