@@ -14,19 +14,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The subject of every third event.
+DOMINANT = 3
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.col("value")
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("pid"),
-        F.col("ts").cast("timestamp").alias("datatime"),
-        F.col("event_id").alias("measuretime"),
+    """Readings with all that the given events lack.
+
+    One subject has a third of all, some readings have no subject or no time, some
+    are there twice, and to some there is another at the same time.
+    """
+    event, user = F.col("event_id"), F.col("user_id")
+    once, twice, tied = F.array(F.lit(0)), F.array(F.lit(0), F.lit(0)), F.array(F.lit(0), F.lit(1))
+    forms = F.when(event % 20 == 0, twice).when(event % 20 == 1, tied).otherwise(once)
+    number = event + F.col("form") * F.lit(1_000_000_000_000)
+    value = F.col("value") + 8 * F.col("form")
+    return table(spark, sf_dir, "events").withColumn("form", F.explode(forms)).select(
+        F.when(event % 23 != 0, F.when(event % 3 == 0, F.lit(DOMINANT).cast("bigint")).otherwise(user)).alias("pid"),
+        F.when((event % 13 != 0) | (user % 4 != 3), F.col("ts").cast("timestamp")).alias("datatime"),
+        number.alias("measuretime"),
         (60 + F.floor(value / 4)).alias("sbp"),
         (40 + F.floor(value / 8)).alias("dbp"),
         (35 + value / 400).alias("dia_temp_value"),
         (13 + value / 250).alias("conductivity"),
         (value / 500).alias("uf"),
         (150 + value / 4).alias("blood_flow"),
-        F.col("event_id").alias("time"),
+        number.alias("time"),
     )
 
 

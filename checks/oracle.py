@@ -7,16 +7,22 @@ operators independently.
 from haemoloom.schemas import MODEL_FEATURES
 
 INPUTS = """
+forms AS (
+  SELECT *, 0 AS form FROM events
+  UNION ALL SELECT *, 0 AS form FROM events WHERE event_id % 20 = 0
+  UNION ALL SELECT *, 1 AS form FROM events WHERE event_id % 20 = 1),
 telemetry AS (
-  SELECT user_id AS pid, ts AS datatime, event_id AS measuretime,
-         60 + CAST(floor(value / 4) AS BIGINT) AS sbp,
-         40 + CAST(floor(value / 8) AS BIGINT) AS dbp,
-         35 + value / 400 AS dia_temp_value,
-         13 + value / 250 AS conductivity,
-         value / 500 AS uf,
-         150 + value / 4 AS blood_flow,
-         event_id AS "time"
-  FROM events),
+  SELECT CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 3 ELSE user_id END AS pid,
+         CASE WHEN event_id % 13 <> 0 OR user_id % 4 <> 3 THEN ts END AS datatime,
+         event_id + form * 1000000000000 AS measuretime,
+         60 + CAST(floor((value + 8 * form) / 4) AS BIGINT) AS sbp,
+         40 + CAST(floor((value + 8 * form) / 8) AS BIGINT) AS dbp,
+         35 + (value + 8 * form) / 400 AS dia_temp_value,
+         13 + (value + 8 * form) / 250 AS conductivity,
+         (value + 8 * form) / 500 AS uf,
+         150 + (value + 8 * form) / 4 AS blood_flow,
+         event_id + form * 1000000000000 AS "time"
+  FROM forms),
 registration AS (
   SELECT o_custkey AS pid,
          TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 30 AS INTEGER)) AS keyindate,
@@ -41,13 +47,17 @@ demographics AS (
 READING = "pid, datatime, sbp, dbp, dia_temp_value, conductivity, uf, blood_flow"
 
 
-def sessions(hours: int = 12, serving: bool = False) -> str:
+# Of readings at one time, the one that sorts first by its values comes first.
+IN_ORDER = "PARTITION BY pid ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in READING.split(", ")[1:])
+
+
+def sessions(hours: int = 12, serving: bool = False, source: str = "telemetry") -> str:
     """CTEs from the given tables to ``sessionized``."""
     gap = "epoch_us(datatime) - epoch_us(previous_ts)" if serving else "date_sub('hour', previous_ts, datatime)"
     limit = hours * 3_600_000_000 if serving else hours
     return f"""WITH {INPUTS},
 lagged AS (
-  SELECT *, lag(datatime) OVER (PARTITION BY pid ORDER BY datatime NULLS FIRST) AS previous_ts FROM telemetry),
+  SELECT *, lag(datatime) OVER ({IN_ORDER}) AS previous_ts FROM {source}),
 flagged AS (
   SELECT *, CASE WHEN previous_ts IS NULL OR {gap} > {limit} THEN 1 ELSE 0 END AS is_new_session FROM lagged),
 numbered AS (
@@ -248,10 +258,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         # Streams and stored states
         "stream_bins": _plain_bins(closed=True),
-        "stream_sessions": f"""{sessions(serving=True)}
+        "stream_sessions": f"""{sessions(serving=True, source="(SELECT * FROM telemetry WHERE datatime IS NOT NULL)")}
             SELECT pid, session_id, min(datatime) AS session_start_ts, max(datatime) AS last_ts, count(*) AS readings,
                    round(avg(sbp), 9) AS avg_sbp, min(sbp) AS min_sbp
-            FROM sessionized WHERE datatime IS NOT NULL GROUP BY pid, session_id
+            FROM sessionized GROUP BY pid, session_ordinal, session_id
             HAVING epoch_us(max(datatime)) + 12 * 3600000000 <= {_WATERMARK}""",
         "stream_late_bins": _plain_bins(),
         "agg_rolled_bins": _plain_bins(360),
@@ -394,7 +404,7 @@ def oracle_sql() -> dict[str, str]:
         # Sorts and limits
         "sort_session_time": _sessions("SELECT pid, datatime, sbp FROM sessionized WHERE session_id = '8_1'"),
         "sort_for_windows": _temporal(f"{r9('avg_sbp')}, {r9('lag_1_avg_sbp')}"),
-        "limit_head": _inputs(f"SELECT {READING_R9} FROM telemetry ORDER BY pid, datatime LIMIT 5"),
+        "limit_head": _inputs(f"SELECT {READING_R9} FROM telemetry ORDER BY pid NULLS FIRST, datatime NULLS FIRST, measuretime LIMIT 5"),
         # Scalar functions
         "fn_epoch_to_ts": """SELECT event_id,
             make_timestamp(CAST((epoch_us(ts) * 1000 + event_id % 1000 + 500) // 1000 AS BIGINT)) AS datatime

@@ -128,19 +128,19 @@ def _telemetry_csv(spark, sf_dir):
 
 
 def src_csv_typed(spark, sf_dir):
-    return plain(csv.read_csv_typed(spark, _telemetry_csv(spark, sf_dir), TELEMETRY))
+    return plain(csv.read_csv_typed(spark, _telemetry_csv(spark, sf_dir), TELEMETRY, integers_required=False))
 
 
 def src_csv_limit(spark, sf_dir):
     path = _telemetry_csv(spark, sf_dir)
-    return plain(csv.read_csv_typed(spark, path, TELEMETRY, limit=100, order_by="measuretime"))
+    return plain(csv.read_csv_typed(spark, path, TELEMETRY, 100, "measuretime", integers_required=False))
 
 
 def src_csv_glob(spark, sf_dir):
     """The folder also holds files that are not CSV."""
     path = _telemetry_csv(spark, sf_dir)
     table(spark, sf_dir, "nation").write.mode("append").json(path)
-    return plain(csv.read_csv_folder(spark, path, TELEMETRY))
+    return plain(csv.read_csv_folder(spark, path, TELEMETRY, integers_required=False))
 
 
 def clean_demographics(spark, sf_dir):
@@ -327,8 +327,7 @@ def flt_session_bulk(spark, sf_dir):
 
 
 def flt_ts_not_null(spark, sf_dir):
-    rows = telemetry(spark, sf_dir).select(*SESSION_READING_COLUMNS)
-    return plain(rows.filter(F.col("datatime").isNotNull()))
+    return plain(bins.timed(telemetry(spark, sf_dir)).select(*SESSION_READING_COLUMNS))
 
 
 def flt_train(spark, sf_dir):
@@ -463,8 +462,8 @@ def sort_for_windows(spark, sf_dir):
 
 
 def limit_head(spark, sf_dir):
-    rows = telemetry(spark, sf_dir).select(*SESSION_READING_COLUMNS)
-    return plain(rows.orderBy("pid", "datatime").limit(5))
+    rows = stored.first_rows(telemetry(spark, sf_dir), 5, ["pid", "datatime", "measuretime"])
+    return plain(rows.select(*SESSION_READING_COLUMNS))
 
 
 # --- streams and stored states ----------------------------------------------
@@ -515,11 +514,11 @@ def agg_rolled_bins(spark, sf_dir):
 
 
 def sink_sessionized_runs(spark, sf_dir):
-    """The sessionized table in three runs: ten days, ten days and the rest."""
+    """The sessionized table in three runs: ten days with all readings without a time, ten days and the rest."""
     folder = scratch_path(spark, "sessionized-runs")
     readings = telemetry(spark, sf_dir)
     begin = readings.agg(F.min(F.to_date("datatime"))).first()[0]
-    part = F.least(F.floor(F.datediff("datatime", F.lit(begin)) / 10), F.lit(2))
+    part = F.least(F.floor(F.datediff(F.coalesce(F.to_date("datatime"), F.lit(begin)), F.lit(begin)) / 10), F.lit(2))
     for run in range(3):
         incremental.append_readings(readings.filter(part == run), folder, run)
     return plain(incremental.sessionized_so_far(spark, folder))

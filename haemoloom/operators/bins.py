@@ -28,6 +28,11 @@ def bin_statistics() -> list[Column]:
     ]
 
 
+def timed(readings: DataFrame) -> DataFrame:
+    """Readings that have a time; only they are in bins."""
+    return readings.filter(F.col("datatime").isNotNull())
+
+
 def slot_bins(readings: DataFrame, settings: Settings) -> DataFrame:
     """Bins per subject, before sessions are known.
 
@@ -52,8 +57,7 @@ def session_bins(sessionized: DataFrame, settings: Settings) -> DataFrame:
     given = as_timestamp(sessionized, "session_start_ts")
     whole = Window.partitionBy("pid", "session_id")
     return (
-        sessionized.withColumns({"datatime": ts, "session_start_ts": given})
-        .filter(F.col("datatime").isNotNull())
+        timed(sessionized.withColumns({"datatime": ts, "session_start_ts": given}))
         .groupBy("pid", "session_id", time_bin(F.col("datatime"), settings.interval).alias("time_bin"))
         .agg(
             F.min("datatime").alias("first_ts"),
@@ -76,7 +80,7 @@ def enriched_bins(rows: DataFrame, settings: Settings) -> DataFrame:
     """
     constants = ["gender", "birthday", "DM", "session_start_ts", "first_dialysis_ts"]
     return (
-        rows.filter(F.col("datatime").isNotNull())
+        timed(rows)
         .groupBy("pid", "session_id", time_bin(F.col("datatime"), settings.interval).alias("time_bin"))
         .agg(*bin_statistics(), *weight_choices(), *[F.min(c).alias(c) for c in constants])
         .withColumns({"weightstart": chosen_weights()[0], "dryweight": chosen_weights()[1]})

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from haemoloom.functions.parsing import strict_cast
 from haemoloom.schemas import MISSING_TEXT
+from haemoloom.sources.tables import first_rows
 
 CSV_FILES = "*.[cC][sS][vV]"
 
@@ -47,13 +48,17 @@ def read_csv_typed(
     typed = text.select(*[
         strict_cast(c, schema[c], integers_required).alias(c) if c in schema else F.col(c) for c in text.columns
     ])
-    if limit is None:
-        return typed
-    return (typed.orderBy(order_by) if order_by else typed).limit(limit)
+    return typed if limit is None else first_rows(typed, limit, [order_by] if order_by else [])
 
 
 def read_csv_folder(
-    spark: SparkSession, folder: str, schema: T.StructType | dict[str, str], multi_line: bool = False
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | dict[str, str],
+    integers_required: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every CSV file of a folder, whichever case its suffix has."""
-    return read_csv_typed(spark, folder, schema, files=CSV_FILES, multi_line=multi_line)
+    return read_csv_typed(
+        spark, folder, schema, files=CSV_FILES, integers_required=integers_required, multi_line=multi_line
+    )

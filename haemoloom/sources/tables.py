@@ -33,5 +33,10 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("num_rows"))
 
 
+def first_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
+    """The first ``n`` rows by ``order_by``, missing values first; any ``n`` without an order."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
