@@ -42,7 +42,6 @@ HEADLINE = [
     "sink_sessionized",
     "sink_features",
     "ml_evaluate",
-    "ml_train",
     "ml_predict",
     "ml_csv_to_risk",
 ]

@@ -248,3 +248,10 @@ def test_typed_csv_with_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "a.CSV").write_text('pid,note\n1,"one\ntwo"\n2,three\n')
     rows = csv.read_csv_folder(spark, str(tmp_path), {"pid": "bigint"}, multi_line=True).collect()
     assert sorted(map(tuple, rows)) == [(1, "one\ntwo"), (2, "three")]
+
+
+def test_first_rows_have_missing_values_first(spark):
+    rows = spark.createDataFrame([(2, "a"), (None, "b"), (1, "d"), (1, "c")], "pid bigint, name string")
+    assert [r.name for r in tables.first_rows(rows, 3, ["pid", "name"]).collect()] == ["b", "c", "d"]
+    assert tables.first_rows(rows, 3, []).count() == 3
+    assert tables.first_rows(rows.limit(0), 3, ["pid"]).collect() == []
