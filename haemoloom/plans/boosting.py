@@ -60,34 +60,108 @@ def _edges(rows: DataFrame, width: int, bins: int) -> list[list[float]]:
     return [sorted(set(edges or [])) for edges in found]
 
 
-def _constants(values: list, kind: str) -> Column:
-    """An array of constants, which takes one call to build and is folded once."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """A column of lists of ``width`` as rows; missing doubles are NaN."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def _bin(value: Column, edges: list[float]) -> Column:
-    under = F.size(F.filter(_constants(edges, "double"), lambda e: e < value)) if edges else F.lit(0)
-    return F.when(value.isNull(), _MISSING).otherwise(under).cast("smallint")
+def _lists(values: np.ndarray) -> pa.Array:
+    """The rows of ``values`` as a column of lists."""
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
 
 
-def _reached(splits: dict[int, tuple], levels: int) -> Column:
-    """The node that a binned row reaches in a tree of ``levels``; ``splits`` has input, bin and missing side of each split.
+def _packed(b: np.ndarray) -> pa.Array:
+    """Binned rows as a column of one value of bytes each, which is read and passed on faster than a list."""
+    offsets = np.arange(len(b) + 1, dtype=np.int32) * (2 * b.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(b), [None, pa.py_buffer(offsets), pa.py_buffer(b.tobytes())])
 
-    Splits are arrays of constants, so that all levels and rounds share one compiled plan.
-    """
+
+def _unpacked(column: pa.Array, width: int) -> np.ndarray:
+    if not len(column):
+        return np.zeros((0, width), np.int16)
+    return np.frombuffer(column.buffers()[2], np.int16, len(column) * width).reshape(-1, width)
+
+
+def _binned(rows: DataFrame, edges: list[list[float]]) -> DataFrame:
+    """``rows`` with ``b``, the packed bins of ``x``, in place of ``x``."""
+    width = len(edges)
+
+    def place(batches):
+        for batch in batches:
+            x = _matrix(batch.column(0), width)
+            b = np.empty(x.shape, np.int16)
+            for j, own in enumerate(edges):
+                b[:, j] = np.where(np.isnan(x[:, j]), _MISSING, np.searchsorted(own, x[:, j]))
+            yield pa.RecordBatch.from_arrays([_packed(b), *batch.columns[1:]], ["b", *batch.schema.names[1:]])
+
+    rest = [c for c in rows.columns if c != "x"]
+    schema = T.StructType().add("b", "binary")
+    return rows.select("x", *rest).mapInArrow(place, T.StructType([*schema, *rows.select(*rest).schema]))
+
+
+def _reached(b: np.ndarray, splits: dict[int, tuple], levels: int) -> np.ndarray:
+    """The node that each binned row reaches in a tree of ``levels``; ``splits`` has input, bin and missing side of each split."""
     size = 2 ** (levels + 1)
-    inputs, lasts, missing_left = (
-        _constants([splits[i][k] if i in splits else none for i in range(size)], kind)
-        for k, (none, kind) in enumerate(((-1, "int"), (_MISSING, "int"), (False, "boolean")))
-    )
+    inputs, lasts, missing_left = np.full(size, -1), np.full(size, _MISSING), np.zeros(size, bool)
+    for at, (j, last, left) in splits.items():
+        inputs[at], lasts[at], missing_left[at] = j, last, left
+    node, row = np.zeros(len(b), np.int64), np.arange(len(b))
+    for _ in range(levels):
+        j = inputs[node]
+        own = b[row, j]
+        left = np.where(own == _MISSING, missing_left[node], own <= lasts[node])
+        node = np.where(j < 0, node, 2 * node + 2 - left)
+    return node
+
+
+def _cells(rows: DataFrame, splits: dict[int, tuple], grown: list[int], width: int, bins: int, depth: int) -> DataFrame:
+    """Sums ``g`` and ``h`` of the gradients in the nodes ``grown`` by ``node``, ``j`` and ``bin``.
+
+    A task adds up its rows in arrays as large as nodes times inputs times bins, so that
+    cells are shuffled, not one row per value.
+    """
+    shape = len(grown), width, bins + 1
 
-    def step(at: Column, _: Column) -> Column:
-        j = F.get(inputs, at)
-        own = F.get(F.col("b"), j)
-        left = F.when(own == _MISSING, F.get(missing_left, at)).otherwise(own <= F.get(lasts, at))
-        return F.when(j < 0, at).when(left, 2 * at + 1).otherwise(2 * at + 2)
+    def add_up(batches):
+        place = np.full(2 ** (depth + 1), -1)
+        place[grown] = np.arange(len(grown))
+        counts, g, h = np.zeros(shape, np.int64), np.zeros(shape), np.zeros(shape)
+        each = len(grown) * (bins + 1)
+        for batch in batches:
+            b = _unpacked(batch.column(0), width)
+            at = place[_reached(b, splits, depth)]
+            inside = at >= 0
+            y, w, margin = (batch.column(i).to_numpy(zero_copy_only=False)[inside] for i in (1, 2, 3))
+            chance = 1 / (1 + np.exp(-margin))
+            steps = w * (chance - y), w * chance * (1 - chance)
+            first = at[inside] * (bins + 1) - _MISSING
+            for j, own in enumerate(b[inside].T):
+                cell = first + own
+                counts[:, j] += np.bincount(cell, minlength=each).reshape(-1, bins + 1)
+                for total, step in zip((g, h), steps):
+                    total[:, j] += np.bincount(cell, step, each).reshape(-1, bins + 1)
+        node, j, own = filled = np.nonzero(counts)
+        columns = [np.array(grown)[node], j, own + _MISSING]
+        columns = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(total[filled]) for total in (g, h)]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "j", "bin", "g", "h"])
+
+    found = rows.select("b", "y", "w", "margin").mapInArrow(add_up, "node int, j int, bin int, g double, h double")
+    # By input and node, as the windows over bins need them.
+    return found.repartition("node", "j").groupBy("node", "j", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+
+
+def _with_values(rows: DataFrame, splits: dict[int, tuple], values: list[float], width: int, depth: int) -> DataFrame:
+    """``rows`` with the value of the leaf that each reaches added to its margin."""
+
+    def add(batches):
+        for batch in batches:
+            reached = _reached(_unpacked(batch.column(0), width), splits, depth)
+            margin = batch.column(3).to_numpy(zero_copy_only=False) + np.array(values)[reached]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(margin)], ["b", "y", "w", "margin"])
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), F.lit(0), step)
+    rows = rows.select("b", "y", "w", "margin")
+    return rows.mapInArrow(add, rows.schema)
 
 
 def _best_splits(sums: DataFrame, smooth: float, least_weight: float, least_gain: float) -> DataFrame:
@@ -149,20 +223,13 @@ def fit_boosted(
     share = total.wy / total.w if total.w else 0.5
     prior = math.log(share / (1 - share)) if 0 < share < 1 else 0.0
     made = [Node(-1, 0, None, None, None, prior, float(total.w or 0))]
-    binned = F.array(*[_bin(F.col("x")[j], e) for j, e in enumerate(edges)])
-    rows = _stored(rows.select(binned.alias("b"), "y", "w", F.lit(prior).alias("margin")), "boost-bins")
+    rows = _stored(_binned(rows, edges).withColumn("margin", F.lit(prior)), "boost-bins")
     for tree in range(rounds if total.w else 0):
-        chance = 1 / (1 + F.exp(-F.col("margin")))
-        steps = rows.select("b", (F.col("w") * (chance - F.col("y"))).alias("g"), (F.col("w") * chance * (1 - chance)).alias("h"))
         splits: dict[int, tuple] = {}
         sums: dict[int, tuple] = {}
         grown = [0]
-        for level in range(depth):
-            node = _reached(splits, depth)
-            growing = _constants([i in grown for i in range(2**depth)], "boolean")
-            cells = steps.select(node.alias("node"), "g", "h", "b").filter(F.get(growing, F.col("node")))
-            cells = cells.select("node", "g", "h", F.posexplode("b").alias("j", "bin")).groupBy("node", "j", "bin")
-            cells = cells.agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        for _ in range(depth):
+            cells = _cells(rows, splits, grown, len(names), bins, depth)
             found = _best_splits(cells, smooth, least_weight, least_gain).collect()  # one row per node of the level
             for r in found:
                 splits[r.node] = (r.j, r.bin, r.missing_left)
@@ -181,8 +248,7 @@ def fit_boosted(
             else:
                 values[at] = -rate * g / (h + smooth)
                 made.append(Node(tree, at, None, None, None, values[at], h))
-        gained = F.get(_constants(values, "double"), _reached(splits, depth))
-        rows = _stored(rows.withColumn("margin", F.col("margin") + gained), "boost-bins")
+        rows = _stored(_with_values(rows, splits, values, len(names), depth), "boost-bins")
     return spark.createDataFrame(made, MODEL_SCHEMA)
 
 
