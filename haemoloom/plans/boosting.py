@@ -272,24 +272,31 @@ def with_margin(model: DataFrame, rows: DataFrame, inputs: dict[str, Column], na
     for j, own in enumerate(inputs):
         place = place.when(F.col("input") == own, j)
     place = place.otherwise(F.raise_error(F.concat(F.lit("model input without a column: "), F.col("input"))))
-    node = F.struct(place.cast("int").alias("input"), "threshold", "missing_left", "value")
-    trees = model.groupBy("tree").agg(F.map_from_entries(F.collect_list(F.struct("node", node))).alias("nodes"), F.max("node").alias("last"))
-    every = trees.agg(F.collect_list(F.struct("tree", "last", "nodes")).alias("trees"))
-    every = every.select(F.array_sort("trees", lambda a, b: a["tree"] - b["tree"]).alias("trees"))
+    # In the order of nodes, each split's children follow those of the splits before it.
+    before = Window.partitionBy("tree").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    left = 2 * F.coalesce(F.count("input").over(before), F.lit(0)) + 1
+    node = F.struct("node", place.cast("int").alias("input"), "threshold", "missing_left", "value", left.cast("int").alias("left"))
+    trees = model.select("tree", node.alias("node")).groupBy("tree")
+    trees = trees.agg(F.max("node.node").alias("last"), F.sort_array(F.collect_list("node")).alias("nodes"))
+    every = trees.agg(F.sort_array(F.collect_list(F.struct("tree", "last", "nodes"))).alias("trees"))
     values = F.array(*[_known(c.cast("double")) for c in inputs.values()])
 
-    def leaf(tree: Column) -> Column:
+    def leaf(tree: Column, row: Column) -> Column:
         def step(at: Column, _: Column) -> Column:
-            here = F.element_at(tree["nodes"], at)
-            own = F.get(values, here["input"])
+            here = F.get(tree["nodes"], at)
+            own = F.get(row, here["input"])
             left = F.when(own.isNull(), here["missing_left"]).otherwise(own <= here["threshold"])
-            return F.when(here["input"] < 0, at).when(left, 2 * at + 1).otherwise(2 * at + 2)
+            return F.when(here["input"] < 0, at).when(left, here["left"]).otherwise(here["left"] + 1)
 
         levels = F.sequence(F.lit(0), F.floor(F.log2(tree["last"] + F.lit(1.0))).cast("int"))
-        return F.element_at(tree["nodes"], F.aggregate(levels, F.lit(0), step))["value"]
+        return F.get(tree["nodes"], F.aggregate(levels, F.lit(0), step))["value"]
 
-    total = F.aggregate(F.col("trees__"), F.lit(0.0), lambda total, tree: total + leaf(tree))
-    return rows.withColumn("trees__", every.scalar()).withColumn(name, total).drop("trees__")
+    def total(row: Column) -> Column:
+        return F.aggregate(F.col("trees__"), F.lit(0.0), lambda sum_, tree: sum_ + leaf(tree, row))
+
+    # A lambda's argument is computed once a row, and not again at every node.
+    margin = F.transform(F.array(values), total)[0]
+    return rows.withColumn("trees__", every.scalar()).withColumn(name, margin).drop("trees__")
 
 
 def score_boosted(model: DataFrame, features: DataFrame) -> DataFrame:

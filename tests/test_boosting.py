@@ -191,3 +191,12 @@ def test_a_level_shuffles_cells(spark):
     got = {(r.node, r.j, r.bin): (r.g, r.h) for r in cells.collect()}
     assert got.keys() == wanted.keys()
     assert all(got[k] == pytest.approx(wanted[k]) for k in got)
+
+
+def test_inputs_are_computed_once_a_row(spark):
+    """Two nodes of one tree that ask the same of an input see the same value, also of a random one."""
+    nodes = [(0, 0, "p", 0.5, True, 0.0, 4.0), (0, 1, "p", 0.5, True, 0.0, 2.0), (0, 2, None, None, None, 0.0, 2.0)]
+    nodes += [(0, 3, None, None, None, 0.0, 1.0), (0, 4, None, None, None, 1.0, 1.0)]
+    model = spark.createDataFrame(nodes, boosting.MODEL_SCHEMA)
+    scored = boosting.with_margin(model, spark.range(1000), {"p": F.rand(5)})
+    assert {r.margin for r in scored.collect()} == {0.0}
