@@ -317,17 +317,22 @@ def load_boosted(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MODEL_SCHEMA).parquet(path)
 
 
+#: Inputs of a path up to which what they contribute is tabled for all patterns of passed splits.
+_TABLED = 8
+
+
 class _Path(NamedTuple):
     """A leaf: for each input on its path, the share of training weight that its splits let through, and its splits."""
 
     value: float
     inputs: list[int]
     shares: list[float]
-    splits: list[list[tuple[float, bool, bool]]]  # threshold, missing goes left, path goes left
+    splits: list[list[tuple[int, bool]]]  # place among all splits, path goes left
 
 
-def _paths(nodes: list[Node], names: list[str]) -> list[_Path]:
-    found = []
+def _paths(nodes: list[Node], names: list[str]) -> tuple[list[_Path], list[tuple[int, float, bool]]]:
+    """The leaves, and all different splits as input, threshold and side of missing values."""
+    found, every = [], {}
     for _, tree in groupby(sorted(nodes), key=lambda n: n.tree):
         tree = {n.node: n for n in tree}
         for leaf in (n for n in tree.values() if n.input is None):
@@ -335,42 +340,61 @@ def _paths(nodes: list[Node], names: list[str]) -> list[_Path]:
             at = leaf.node
             while at:
                 above = tree[(at - 1) // 2]
-                part = parts.setdefault(names.index(above.input), [1.0, []])
+                j = names.index(above.input)
+                part = parts.setdefault(j, [1.0, []])
                 part[0] *= tree[at].cover / above.cover
-                part[1].append((above.threshold, above.missing_left, at % 2 == 1))
+                split = every.setdefault((j, above.threshold, above.missing_left), len(every))
+                part[1].append((split, at % 2 == 1))
                 at = above.node
             found.append(_Path(leaf.value, list(parts), [p[0] for p in parts.values()], [p[1] for p in parts.values()]))
-    return found
+    return found, list(every)
 
 
-def _path_contributions(paths: list[_Path], rows: np.ndarray) -> tuple[np.ndarray, float]:
-    """Shapley values of each row's inputs, and the margin that a row of unknown inputs has.
+def _pattern_contributions(path: _Path, patterns: np.ndarray) -> np.ndarray:
+    """Shapley values of the path's inputs, one row each, for patterns whose bit i says that input i passes.
 
     What a leaf gives to a set of known inputs is a product over the inputs of its path:
     1 or 0 for a known one, its share for another. A polynomial in the number of known
     inputs therefore counts all sets at once.
     """
-    out, base = np.zeros(rows.shape), 0.0
-    for path in paths:
-        m = len(path.inputs)
-        base += path.value * math.prod(path.shares)
-        passed = []
-        for j, splits in zip(path.inputs, path.splits):
-            column, good = rows[:, j], np.ones(len(rows), bool)
-            for threshold, missing_left, goes_left in splits:
-                good &= np.where(np.isnan(column), missing_left, column <= threshold) == goes_left
-            passed.append(good.astype(float))
-        weights = [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
-        for i, j in enumerate(path.inputs):
-            sets = np.zeros((m, len(rows)))
-            sets[0] = 1
-            for k in range(m):
-                if k != i:
-                    grown = sets * path.shares[k]
-                    grown[1:] += sets[:-1] * passed[k]
-                    sets = grown
-            out[:, j] += path.value * (passed[i] - path.shares[i]) * (np.array(weights) @ sets)
-    return out, base
+    m = len(path.inputs)
+    passed = [(patterns >> i & 1).astype(float) for i in range(m)]
+    weights = np.array([math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)])
+    out = np.zeros((m, len(patterns)))
+    for i in range(m):
+        sets = np.zeros((m, len(patterns)))
+        sets[0] = 1
+        for k in range(m):
+            if k != i:
+                grown = sets * path.shares[k]
+                grown[1:] += sets[:-1] * passed[k]
+                sets = grown
+        out[i] = path.value * (passed[i] - path.shares[i]) * (weights @ sets)
+    return out
+
+
+def _path_contributions(paths: list[_Path], splits: list[tuple], tables: list, rows: np.ndarray) -> np.ndarray:
+    """Shapley values of each row's inputs.
+
+    A leaf's part depends only on which of its inputs pass, so it is computed once for a
+    pattern and taken from there for each row.
+    """
+    out = np.zeros(rows.shape[::-1])
+    columns = np.ascontiguousarray(rows.T)
+    missing = np.isnan(columns)
+    left = [np.where(missing[j], missing_left, columns[j] <= threshold) for j, threshold, missing_left in splits]
+    right = [~side for side in left]
+    for path, table in zip(paths, tables):
+        pattern = np.zeros(len(rows), np.int64)
+        for i, own in enumerate(path.splits):
+            good = np.logical_and.reduce([(left if goes_left else right)[at] for at, goes_left in own])
+            pattern += good.astype(np.int64) << i
+        if table is None:
+            seen, pattern = np.unique(pattern, return_inverse=True)
+            table = _pattern_contributions(path, seen)
+        for j, worth in zip(path.inputs, table):
+            out[j] += worth[pattern]
+    return out.T
 
 
 def contributions(model: DataFrame, features: DataFrame, inputs: dict[str, Column] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -380,17 +404,17 @@ def contributions(model: DataFrame, features: DataFrame, inputs: dict[str, Colum
     """
     inputs = inputs or numeric_inputs(features)
     nodes = [Node(*r) for r in model.select(*Node._fields).collect()]  # as many as the trees have
-    paths = _paths(nodes, list(inputs))
+    paths, splits = _paths(nodes, list(inputs))
+    base = sum(path.value * math.prod(path.shares) for path in paths)
     rows = features.select(*keep, F.array(*[_known(c.cast("double")) for c in inputs.values()]).alias("x__"))
     width = len(inputs)
 
     def explain(batches):
+        small = [len(p.inputs) <= _TABLED for p in paths]
+        tables = [_pattern_contributions(p, np.arange(2 ** len(p.inputs))) if few else None for p, few in zip(paths, small)]
         for batch in batches:
-            n = batch.num_rows
-            x = batch.column(len(keep)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, width)
-            found, base = _path_contributions(paths, x)
-            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
-            columns = [batch.column(i) for i in range(len(keep))] + [pa.array(np.full(n, base)), pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))]
+            found = _path_contributions(paths, splits, tables, _matrix(batch.column(len(keep)), width).astype(float))
+            columns = [batch.column(i) for i in range(len(keep))] + [pa.array(np.full(len(found), base)), _lists(found)]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "base", "contributions"])
 
     schema = rows.select(*keep).schema.add("base", "double").add("contributions", T.ArrayType(T.DoubleType()))

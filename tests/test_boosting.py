@@ -200,3 +200,26 @@ def test_inputs_are_computed_once_a_row(spark):
     model = spark.createDataFrame(nodes, boosting.MODEL_SCHEMA)
     scored = boosting.with_margin(model, spark.range(1000), {"p": F.rand(5)})
     assert {r.margin for r in scored.collect()} == {0.0}
+
+
+def test_a_leaf_is_worked_out_once_a_pattern(monkeypatch):
+    """However many rows there are; also where a path has too many inputs for a table."""
+    counted = []
+    plainly = boosting._pattern_contributions
+
+    def count(path, patterns):
+        counted.append(len(patterns))
+        return plainly(path, patterns)
+
+    monkeypatch.setattr(boosting, "_pattern_contributions", count)
+    m = 10
+    path = boosting._Path(2.0, list(range(m)), [0.5 + i / 40 for i in range(m)], [[(i, True)] for i in range(m)])
+    splits = [(j, 0.0, True) for j in range(m)]
+    rows = np.where(np.arange(5000)[:, None] % 4 == np.arange(m) % 4, 1.0, -1.0)
+    rows[::5, 2] = np.nan
+    direct = boosting._path_contributions([path], splits, [None], rows)
+    assert counted == [5]
+    table = plainly(path, np.arange(2**m))
+    assert np.allclose(boosting._path_contributions([path], splits, [table], rows), direct)
+    whole = 2.0 * (np.isnan(rows) | (rows <= 0)).all(axis=1)
+    assert direct.sum(axis=1) + 2.0 * math.prod(path.shares) == pytest.approx(whole)
