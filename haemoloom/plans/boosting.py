@@ -424,6 +424,7 @@ def contributions(model: DataFrame, features: DataFrame, inputs: dict[str, Colum
 def global_attribution(model: DataFrame, features: DataFrame) -> DataFrame:
     """``feature`` and ``attribution``: the mean absolute contribution of each input over all rows."""
     names = list(numeric_inputs(features))
-    each = contributions(model, features).select(F.posexplode("contributions").alias("place", "value"))
-    found = each.groupBy("place").agg(F.avg(F.abs("value")).alias("attribution"))
-    return found.select(F.array(*map(F.lit, names))[F.col("place")].alias("feature"), "attribution")
+    each = contributions(model, features)
+    means = each.agg(*[F.avg(F.abs(F.col("contributions")[j])).alias(name) for j, name in enumerate(names)])
+    pairs = F.array(*[F.struct(F.lit(name).alias("feature"), F.col(name).alias("attribution")) for name in names])
+    return means.select(F.explode(pairs).alias("pair")).select("pair.*").filter("attribution IS NOT NULL")

@@ -223,3 +223,18 @@ def test_a_leaf_is_worked_out_once_a_pattern(monkeypatch):
     assert np.allclose(boosting._path_contributions([path], splits, [table], rows), direct)
     whole = 2.0 * (np.isnan(rows) | (rows <= 0)).all(axis=1)
     assert direct.sum(axis=1) + 2.0 * math.prod(path.shares) == pytest.approx(whole)
+
+
+def test_global_attribution_averages_rows_where_they_are(spark):
+    x, _ = sample(40)
+    names = list(boosting.MODEL_FEATURES)
+    rows = spark.createDataFrame([tuple(float(v) for v in np.nan_to_num(r)) for r in np.resize(x, (40, 21))], ", ".join(f"{c} double" for c in names))
+    rows = rows.withColumn("gender", F.lit("M"))
+    model = boosting.fit_boosted(rows.withColumn("label", (F.col(names[2]) > 0).cast("int")), boosting.numeric_inputs(rows), **OPTIONS)
+    found = boosting.global_attribution(model, rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and "Generate" not in plan[plan.index("Aggregate"):]
+    each = boosting.contributions(model, rows).collect()
+    wanted = {c: sum(abs(r.contributions[j]) for r in each) / 40 for j, c in enumerate(names)}
+    assert {r.feature: r.attribution for r in found.collect()} == pytest.approx(wanted)
+    assert boosting.global_attribution(model, rows.filter("false")).collect() == []
