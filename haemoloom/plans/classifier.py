@@ -54,7 +54,8 @@ def _stages(**options) -> list:
             featuresCol="inputs__vector",
             labelCol="label__double",
             weightCol="class_weight",
-            cacheNodeIds=True,
+            # Walking a row down from the root costs less than keeping its node: trees are shallow.
+            cacheNodeIds=False,
             checkpointInterval=5,
             **trees,
         ),

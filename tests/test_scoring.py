@@ -135,3 +135,9 @@ def test_training_run(spark, tmp_path):
     again, _ = training.train_and_export(spark, path, names, skip_features=True, maxIter=3, maxDepth=3)
     assert again.stages[-1].getNumTrees == 3
     spark.sql("DROP DATABASE run_db CASCADE")
+
+
+def test_classifier_keeps_no_nodes_of_rows():
+    """Trees of six levels are walked from the root; node ids would be stored anew at every level."""
+    trees = classifier._stages()[-1]
+    assert not trees.getCacheNodeIds() and trees.getMaxDepth() == 6
